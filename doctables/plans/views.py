@@ -254,6 +254,7 @@ def table_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((row == 0) & (F.col("path") % 2 == 0)).alias("header_flag"),
         ((row == 0) & (F.col("path") % 3 == 0)).alias("first_row"),
         "jc",
+        F.lit(4).alias("n_cols"),
         F.when(n % 15 == 0, F.concat("text", F.lit("\nmore"))).otherwise(F.col("text")).alias("md"),
     )
 
