@@ -52,7 +52,7 @@ def sections(paragraph: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     ).drop("__after_break")
 
 
-def drop_field_bookmarks(run: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def drop_field_bookmarks(run: DataFrame, keys: list[str] = ["path"], block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Drop runs inside a bookmark whose end comes after a form field of the paragraph.
 
     Runs have kind start, end, field or text. Marks without a partner in the
@@ -60,8 +60,13 @@ def drop_field_bookmarks(run: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFr
     """
     step = F.when(F.col("kind") == "start", 1).when(F.col("kind") == "end", -1).otherwise(0)
     block = block_of("pos", block_rows)
-    keys, order = ["path"], ["pos"]
+    order = ["pos"]
     names = run.columns
+    marks = F.col("kind").isin("start", "end")
+    # only paragraphs with a field can lose text
+    touched = run.where(F.col("kind") == "field").select(*keys).distinct()
+    rest = run.join(touched, keys, "left_anti").where(~marks)
+    run = run.join(touched, keys, "left_semi")
     sums = running(run, keys, order, block, {"__sum": Scan("sum", step)})
     # an end mark without a start does not go below zero
     lows = running(sums, keys, order, block, {
@@ -71,15 +76,15 @@ def drop_field_bookmarks(run: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFr
     depth = F.col("__sum") - F.least(F.lit(0), F.col("__low"))
     lows = lows.withColumn("__depth", depth).withColumn("__phase", F.col("__field"))
     # lowest depth from here on, before and after the first field apart
-    ahead = running(lows, ["path", "__phase"], order, block, {
+    ahead = running(lows, [*keys, "__phase"], order, block, {
         "__ahead": Scan("min", F.col("__depth"), backward=True)
     })
-    later = lows.where(F.col("__phase") == 1).groupBy("path").agg(F.min("__depth").alias("__later"))
+    later = lows.where(F.col("__phase") == 1).groupBy(*keys).agg(F.min("__depth").alias("__later"))
     out = spread_lookup(ahead, later, keys, order)
     reach = F.when(F.col("__phase") == 1, F.col("__ahead") < F.col("__depth")).otherwise(
         F.coalesce(F.col("__later") < F.col("__ahead"), F.lit(False))
     )
-    return out.where(~reach & ~F.col("kind").isin("start", "end")).select(*names)
+    return out.where(~reach & ~marks).select(*names).unionByName(rest)
 
 
 def resolve_numbering(paragraph: DataFrame, numbering: DataFrame, level: DataFrame) -> DataFrame:
@@ -90,7 +95,7 @@ def resolve_numbering(paragraph: DataFrame, numbering: DataFrame, level: DataFra
     return spread_lookup(paragraph, known, ["path", "num_id", "ilvl"], ["pos"])
 
 
-def list_marks(paragraph: DataFrame, max_level: int = MAX_LEVEL, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def list_marks(paragraph: DataFrame, keys: list[str] = ["path"], max_level: int = MAX_LEVEL, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Add ptype, the list mark and, for continuations, the depth of the open list.
 
     Needs num_id, ilvl, fmt, start and the normalised ``style``. An item counts on
@@ -112,7 +117,7 @@ def list_marks(paragraph: DataFrame, max_level: int = MAX_LEVEL, block_rows: int
     scans["__depth"] = Scan(
         "last", F.when(held, F.lit(None)).otherwise(F.when(is_item, F.col("ilvl") + 1).otherwise(0)), before=True
     )
-    out = running(typed, ["path"], ["pos"], block_of("pos", block_rows), scans)
+    out = running(typed, keys, ["pos"], block_of("pos", block_rows), scans)
     same = F.lit(False)
     for k in range(max_level + 1):
         prev = F.col(f"__l{k}")
