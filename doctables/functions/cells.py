@@ -133,20 +133,11 @@ def _value(kind, d=None, b=None, ts=None, s=None) -> Column:
     )
 
 
-def decode_typed(t: Column | str, raw: Column | str) -> Column:
-    """Value of a cell from its declared type; text that does not fit stays a string.
-
-    Untyped cells take the first of number, boolean, string. Shared strings are
-    resolved by a join before or after this (see ``resolve_strings``).
-    """
-    t, raw = _col(t), _col(raw)
-    number, boolean, date = as_number(raw), as_boolean(raw), as_date(raw)
-    serial = from_oadate(number)
-    is_date, is_bool, is_num, untyped = t == "d", t == "b", t == "n", t.isNull()
-
-    takes_number = (is_num | untyped) & number.isNotNull()
-    takes_bool = (is_bool | (untyped & number.isNull())) & boolean.isNotNull()
-    when = F.when(is_date, F.coalesce(date, serial))
+def typed_value(t: Column, raw: Column, number: Column, boolean: Column, date: Column) -> Column:
+    """Value of a cell from its declared type and the readings of its text (null where it cannot be read so)."""
+    when = F.when(t == "d", F.coalesce(date, from_oadate(number)))
+    takes_number = ((t == "n") | t.isNull()) & number.isNotNull()
+    takes_bool = ((t == "b") | (t.isNull() & number.isNull())) & boolean.isNotNull()
     kind = (
         F.when(takes_number, "number")
         .when(takes_bool, "boolean")
@@ -158,10 +149,21 @@ def decode_typed(t: Column | str, raw: Column | str) -> Column:
         d=F.when(takes_number, number),
         b=F.when(takes_bool, boolean),
         ts=when,
-        s=F.when(~(takes_number | takes_bool | when.isNotNull()), raw),
+        s=F.when(kind == "string", raw),
     )
 
 
+def decode_typed(t: Column | str, raw: Column | str) -> Column:
+    """Value of a cell from its declared type; text that does not fit stays a string.
+
+    Untyped cells take the first of number, boolean, string. Shared strings are
+    resolved by a join before this (see ``resolve_strings``). For whole tables
+    ``decode_cells`` reads each text only once.
+    """
+    t, raw = _col(t), _col(raw)
+    return typed_value(t, raw, as_number(raw), as_boolean(raw), as_date(raw))
+
+
 def infer_value(raw: Column | str) -> Column:
     """Value of an untyped cell: number, else boolean, else string."""
     return decode_typed(F.lit(None).cast("string"), raw)

@@ -160,11 +160,7 @@ def run_content(text: Column | str, deleted: Column | str) -> Column:
     return F.when(_on(deleted), "").otherwise(md_escape(F.coalesce(_col(text), F.lit(""))))
 
 
-def render_run(text: str = "text") -> Column:
-    """Markdown of one run from its text and format columns."""
-    content = run_content(text, "del")
-    flags = {c: F.col(c) for c in ("ins", "del", "mono", "bold", "italic", "strike", "dstrike", "underline", "vert")}
-    return wrap_run(content, F.length(content) > 0, flags)
+RUN_FLAGS = ("ins", "del", "mono", "bold", "italic", "strike", "dstrike", "underline", "vert")
 
 
 def render_break(kind: Column | str) -> Column:

@@ -11,6 +11,18 @@ from doctables.operators.running import BLOCK_ROWS, Scan, block_of, running, spr
 MAX_LEVEL = 8  # lists have nine levels, 0 to 8
 
 
+def render_runs(run: DataFrame, text: str = "text") -> DataFrame:
+    """Add ``md``, the text of each run inside its format marks.
+
+    The escaped text is a column of its own: it is looked at for every mark and
+    must not be computed again each time.
+    """
+    flags = {c: F.col(c) for c in M.RUN_FLAGS}
+    escaped = run.withColumn("__content", M.run_content(text, "del"))
+    content = F.col("__content")
+    return escaped.withColumn("md", M.wrap_run(content, F.length(content) > 0, flags)).drop("__content")
+
+
 def render_links(run: DataFrame, link: DataFrame, md: str = "md") -> DataFrame:
     """Runs with a link id become ``[text](target)``; an unknown id gives an empty target."""
     targets = link.select("path", F.col("rel_id").alias("link_id"), "target")

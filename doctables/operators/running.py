@@ -38,7 +38,7 @@ class Scan:
 def block_of(pos: Column | str, rows: int = BLOCK_ROWS) -> Column:
     """Block number of an integer position; rises with the position."""
     pos = F.col(pos) if isinstance(pos, str) else pos
-    return F.floor(pos.cast("long") / F.lit(rows)).cast("long")
+    return F.call_function("div", pos.cast("long"), F.lit(rows).cast("long"))
 
 
 def _within(scan: Scan, value: Column, keys: list[str], order: list[str]) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from doctables.functions import cells as C
+from doctables.functions import fixed
 from doctables.operators.running import row_numbers
 
 
@@ -54,25 +55,57 @@ def split_units(quantity: Column | str) -> Column:
     )
 
 
-def _placed(df: DataFrame, columns: list[str]) -> Column:
-    """Array of the stored cells of one table row: (ord, shift, t, value, style, display)."""
+def _parts(df: DataFrame, columns: list[str]) -> list[tuple[int, int, Column, T.DataType]]:
+    """What each table column stores: (order, shift to the right, value, type)."""
     types = {f.name: f.dataType for f in df.schema.fields}
     parts = []
     for i, c in enumerate(columns):
         if is_quantity(types[c]):
-            dtypes = {f.name: f.dataType for f in types[c].fields}
-            values = [(0, F.col(c)["magnitude"], dtypes["magnitude"]), (1, F.when(F.col(c)["unit"] != "", F.col(c)["unit"]), T.StringType())]
+            magnitude = types[c]["magnitude"].dataType
+            parts.append((i, 0, F.col(c)["magnitude"], magnitude))
+            parts.append((i, 1, F.when(F.col(c)["unit"] != "", F.col(c)["unit"]), T.StringType()))
         else:
-            values = [(0, F.col(c), types[c])]
-        for shift, value, dtype in values:
-            v = C.encode_value(value, dtype)
-            parts.append(
-                F.struct(
-                    F.lit(i).alias("ord"), F.lit(shift).alias("shift"), v["t"].alias("t"),
-                    v["value"].alias("value"), v["style"].alias("style"), v["display"].alias("display"),
-                )
+            parts.append((i, 0, F.col(c), types[c]))
+    return parts
+
+
+_TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)
+
+
+def stored_cells(df: DataFrame, columns: list[str], keep: list[str]) -> DataFrame:
+    """Columns ``keep`` and ``cells``, the stored cells of each row: (ord, shift, t, value, style, display).
+
+    Day numbers and number texts are columns of their own before the cells are
+    made, as the cells use them more than once.
+    """
+    parts = _parts(df, columns)
+    numbers = {
+        f"__n{k}": C.to_oadate(v) if isinstance(t, _TIMES) else v.cast("string").cast("double") if isinstance(t, T.FloatType) else v
+        for k, (_, _, v, t) in enumerate(parts)
+        if isinstance(t, (*_TIMES, T.DoubleType, T.FloatType))
+    }
+    others = {
+        f"__v{k}": v for k, (_, _, v, t) in enumerate(parts) if f"__n{k}" not in numbers or isinstance(t, _TIMES)
+    }
+    step = df.select(*keep, *[v.alias(n) for n, v in {**numbers, **others}.items()])
+    step = step.select(
+        *keep, *others, *[C.number_text(n).alias(n) for n in numbers]
+    )
+    made = []
+    for k, (i, shift, _, dtype) in enumerate(parts):
+        if f"__n{k}" in numbers:
+            is_time = isinstance(dtype, _TIMES)
+            text = F.col(f"__n{k}")
+            display = (
+                F.date_format(F.col(f"__v{k}").cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss") if is_time
+                else F.substring(text, 1, fixed.NUMBER_WIDTH_LIMIT)
             )
-    return F.array(*parts)
+            fields = [F.lit("n").alias("t"), text.alias("value"), F.lit(3 if is_time else 0).alias("style"), display.alias("display")]
+        else:
+            v = C.encode_value(f"__v{k}", dtype)
+            fields = [v[f].alias(f) for f in ("t", "value", "style", "display")]
+        made.append(F.struct(F.lit(i).alias("ord"), F.lit(shift).alias("shift"), *fields))
+    return step.select(*keep, F.array(*made).alias("cells"))
 
 
 def to_cells(df: DataFrame, keys: list[str], columns: list[str], order: list[str], block: Column) -> DataFrame:
@@ -84,7 +117,8 @@ def to_cells(df: DataFrame, keys: list[str], columns: list[str], order: list[str
     positions = col_positions(col_increments(df, keys, columns), keys)
     numbered = row_numbers(df, keys, order, block, "__row")
     placed = (
-        numbered.select(*keys, (F.col("__row") + 1).alias("row"), F.explode(_placed(df, columns)).alias("v"))
+        stored_cells(numbered, columns, [*keys, "__row"])
+        .select(*keys, (F.col("__row") + 1).alias("row"), F.explode("cells").alias("v"))
         .select(*keys, "row", "v.*")
         .where(F.col("value").isNotNull())
     )

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from doctables.functions import text as M
-from doctables.operators.running import Scan, running, spread_lookup
+from doctables.operators.running import Scan, block_of, running, spread_lookup
 
 TABLE = ["path", "tbl"]
 ROW = [*TABLE, "row"]
@@ -99,7 +99,7 @@ def cell_notes(grid: DataFrame) -> DataFrame:
     text = M.trim_end("md")
     trimmed = grid.where(F.col("col") < F.col("n_cols")).withColumn("md", text)
     moved = F.coalesce(F.col("md").rlike(r"[\r\n|]"), F.lit(False))
-    block = F.struct(F.col("tbl"), F.floor(F.col("row") / ROW_BLOCK).alias("b"))
+    block = F.struct(F.col("tbl"), block_of("row", ROW_BLOCK).alias("b"))
     out = running(
         trimmed, ["path"], ["tbl", "row", "col"], block, {"__n": Scan("sum", moved.cast("int"))}
     )

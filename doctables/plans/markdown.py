@@ -110,7 +110,7 @@ FROM (SELECT *, CASE WHEN x = '' THEN '  ' ELSE '' END AS pad FROM (SELECT *, CA
 
 @query("render_run", views("runs") + _RUN.replace(", link_id\nFROM", "\nFROM"))
 def render_run(spark, sf):
-    return V.runs(spark, sf).select("path", "para_pos", "run_pos", M.render_run().alias("md"))
+    return P.render_runs(V.runs(spark, sf)).select("path", "para_pos", "run_pos", "md")
 
 
 @query("render_changes", views("runs") + f"""SELECT path, para_pos, string_agg(CASE WHEN ins AND del THEN '__~~  ~~  __' WHEN del THEN '~~  ~~'
@@ -120,9 +120,8 @@ def render_changes(spark, sf):
     off, none = F.lit(False), F.lit(None).cast("string")
     flags = dict.fromkeys(("mono", "bold", "italic", "strike", "dstrike"), off)
     flags |= {"ins": F.col("ins"), "del": F.col("del"), "underline": none, "vert": none}
-    content = M.run_content("text", "del")
     changed = V.runs(spark, sf).where(F.col("ins") | F.col("del"))
-    md = changed.withColumn("md", M.wrap_run(content, F.length(content) > 0, flags))
+    md = P.render_runs(changed.select("path", "para_pos", "run_pos", "text", *[v.alias(k) for k, v in flags.items()]))
     return P.paragraph_text(md).withColumnRenamed("pos", "para_pos")
 
 
@@ -146,7 +145,7 @@ def md_escape(spark, sf):
 
 @query("paragraph_text", views("runs") + f"SELECT path, para_pos AS pos, string_agg(md, '' ORDER BY run_pos) AS md FROM ({_RUN}) GROUP BY ALL")
 def paragraph_text(spark, sf):
-    return P.paragraph_text(V.runs(spark, sf).withColumn("md", M.render_run()))
+    return P.paragraph_text(P.render_runs(V.runs(spark, sf)))
 
 
 @query("render_links", views("blocks", "anchors") + """, a AS (SELECT *, 'r' || (row_number() OVER (PARTITION BY path ORDER BY pos) * 2 - 2) AS rel_id FROM blocks WHERE tag = 'a')

@@ -105,9 +105,9 @@ def resolve_strings(spark, sf):
   CASE WHEN kind = 'boolean' THEN flag END AS b, CASE WHEN kind = 'date' THEN epoch_us(ts) END AS us,
   CASE WHEN kind = 'string' THEN raw END AS s FROM decoded""")
 def decode_typed(spark, sf):
-    v = V.cells(spark, sf).withColumn("v", C.decode_typed("t", "raw"))
-    return v.select("path", "sheet_no", "row", "col", "v.kind", "v.d", "v.b",
-                    F.unix_micros(F.col("v.ts").cast("timestamp")).alias("us"), "v.s")
+    v = E.decode_values(V.cells(spark, sf))
+    return v.select("path", "sheet_no", "row", "col", "value.kind", "value.d", "value.b",
+                    F.unix_micros(F.col("value.ts").cast("timestamp")).alias("us"), "value.s")
 
 
 @query("infer_value", rf"""SELECT event_id, i, CASE WHEN regexp_matches(raw, {_NUM}) THEN 'number'
@@ -313,13 +313,13 @@ def col_widths(spark, sf):
   'n' AS t5, CAST(l_suppkey AS VARCHAR) AS v5 FROM lineitem""")
 def encode_value(spark, sf):
     lines = V.table(spark, sf, "lineitem").withColumn("closed", F.col("l_linestatus") == "F")
-    kind = {f.name: f.dataType for f in lines.schema.fields}
     cols = ["l_extendedprice", "l_returnflag", "l_shipdate", "closed", "l_suppkey"]
-    enc = lines.select("l_orderkey", "l_linenumber", "l_partkey", *[C.encode_value(c, kind[c]).alias(f"e{i}") for i, c in enumerate(cols, 1)])
+    keep = ["l_orderkey", "l_linenumber", "l_partkey"]
+    enc = X.stored_cells(lines, cols, keep)
     out = []
-    for i in range(1, 6):
-        out += [F.col(f"e{i}.t").alias(f"t{i}"), F.col(f"e{i}.value").alias(f"v{i}")]
-    return enc.select("l_orderkey", "l_linenumber", "l_partkey", *out, F.col("e3.style").alias("s3"))
+    for i in range(5):
+        out += [F.get("cells", F.lit(i))["t"].alias(f"t{i + 1}"), F.get("cells", F.lit(i))["value"].alias(f"v{i + 1}")]
+    return enc.select(*keep, *out, F.get("cells", F.lit(2))["style"].alias("s3"))
 
 
 @query("oadate", f"""SELECT 'o' AS src, o_orderkey AS id, {_oa('o_orderdate')} AS days, epoch_us(o_orderdate) AS back FROM orders

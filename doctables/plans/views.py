@@ -29,7 +29,7 @@ def pick(n: Column, values: list) -> Column:
 
 
 def _div(c: Column, by: int) -> Column:
-    return F.floor(c / by).cast("long")
+    return F.call_function("div", c.cast("long"), F.lit(by).cast("long"))
 
 
 # --- spreadsheets -----------------------------------------------------------------
