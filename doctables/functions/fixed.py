@@ -140,7 +140,7 @@ CONTROL_TYPES = {
     "currentTime": "Time",
     "number": "Number",
 }
-NO_PARAMETER_CONTROLS = ["calculated", "dataBinding"]
+# "calculated" fields and controls with "dataBinding" are no parameters
 
 # --- fixed values: field commands and the property each shows --------------------
 PROPERTY_FIELDS = {
