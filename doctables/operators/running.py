@@ -6,6 +6,9 @@ and one document may hold a large share of all rows. Here each group is cut
 into blocks of consecutive rows: windows run inside a block, one small row per
 block carries its total, and the totals of earlier blocks are added back by an
 equi-join. Only the block totals of a group meet in one task.
+
+The input is read twice, once for the rows and once, with few columns, for the
+totals; write it out first (``staged``) where it is dear to compute.
 """
 
 from __future__ import annotations

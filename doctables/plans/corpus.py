@@ -12,20 +12,10 @@ from doctables.plans import views as V
 from doctables.plans.markdown import _escaped
 from doctables.plans.oracle_views import views
 from doctables.plans.spreadsheet import _oa, _width
+from doctables.plans.register import registry
 from doctables.sources import packages as S
 
-QUERIES = {}
-ORACLE = {}
-
-
-def query(name: str, oracle: str | None = None):
-    def add(fn):
-        QUERIES[name] = fn
-        if oracle is not None:
-            ORACLE[name] = oracle
-        return fn
-
-    return add
+QUERIES, ORACLE, query = registry()
 
 
 @query("lang_counts", """SELECT source AS path, lang, count(*) AS n, min(doc_id) AS first FROM documents GROUP BY ALL""")

@@ -11,19 +11,9 @@ from doctables.operators import tables as T
 from doctables.operators.running import Scan, block_of, running
 from doctables.plans import views as V
 from doctables.plans.oracle_views import views
+from doctables.plans.register import registry
 
-QUERIES = {}
-ORACLE = {}
-
-
-def query(name: str, oracle: str | None = None):
-    def add(fn):
-        QUERIES[name] = fn
-        if oracle is not None:
-            ORACLE[name] = oracle
-        return fn
-
-    return add
+QUERIES, ORACLE, query = registry()
 
 
 _SPECIALS = r"([][\\*_~`{}()<>&#+.!''\"^%=:|-])"
@@ -303,7 +293,7 @@ def image_uri(spark, sf):
 SELECT path, pos, kind, text, CASE WHEN kind = 'image' THEN CASE WHEN nk = 'caption' THEN nt ELSE '' END END AS alt FROM m WHERE NOT (kind = 'caption' AND coalesce(pk = 'image', false))
 UNION ALL SELECT path, pos, kind, text, NULL FROM marks WHERE kind = 'other'""")
 def attach_captions(spark, sf):
-    return N.attach_captions(V.marks(spark, sf), block_rows=512)
+    return N.attach_captions(V.marks(spark, sf), block_rows=4096)
 
 
 @query("toc_blocks", views("blocks") + """SELECT path, pos, text FROM blocks WHERE tag NOT IN ('nav', 'li')

@@ -9,19 +9,9 @@ from doctables.operators import params as P
 from doctables.plans import views as V
 from doctables.plans.markdown import _escaped
 from doctables.plans.oracle_views import views
+from doctables.plans.register import registry
 
-QUERIES = {}
-ORACLE = {}
-
-
-def query(name: str, oracle: str | None = None):
-    def add(fn):
-        QUERIES[name] = fn
-        if oracle is not None:
-            ORACLE[name] = oracle
-        return fn
-
-    return add
+QUERIES, ORACLE, query = registry()
 
 
 @query("parse_field", views("fields") + r"""SELECT path, pos, upper(regexp_extract(instr, '\w+')) AS command,
@@ -59,7 +49,7 @@ def resolve_fields(spark, sf):
 @query("seq_numbers", views("fields") + """SELECT path, pos, string_split(instr, ' ')[2] AS name, row_number() OVER (PARTITION BY path, instr ORDER BY pos) AS number
 FROM fields WHERE pos % 6 = 0""")
 def seq_numbers(spark, sf):
-    return P.seq_numbers(V.fields(spark, sf), block_rows=256)
+    return P.seq_numbers(V.fields(spark, sf), block_rows=4096)
 
 
 @query("date_fields", views("fields") + f"""SELECT f.path, pos, {_escaped("strftime(c, '%Y-%m-%d %H:%M')")} AS md FROM fields f JOIN (SELECT user_id AS path, min(ts) AS c FROM events GROUP BY 1) USING (path) WHERE pos % 6 = 2

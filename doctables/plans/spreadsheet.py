@@ -11,9 +11,9 @@ from doctables.operators import sheets as X
 from doctables.operators.running import block_of
 from doctables.plans import views as V
 from doctables.plans.oracle_views import views
+from doctables.plans.register import registry
 
-QUERIES = {}
-ORACLE = {}
+QUERIES, ORACLE, query = registry()
 
 # SQL fragments shared by several oracles
 _NUM = r"'^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$'"
@@ -45,16 +45,6 @@ _LITERAL = f"""CASE kind WHEN 'number' THEN {_number_text('number')} WHEN 'boole
   WHEN 'date' THEN strftime(ts, 'DateTime(%Y,%-m,%-d,%-H,%-M,%-S)') ELSE '"' || raw || '"' END"""
 
 
-def query(name: str, oracle: str | None = None):
-    def add(fn):
-        QUERIES[name] = fn
-        if oracle is not None:
-            ORACLE[name] = oracle
-        return fn
-
-    return add
-
-
 @query("parse_ref", views("cells") + r"""SELECT path, sheet_no, "row", col,
   CASE WHEN regexp_matches(ref, '^[A-Za-z0-9]+$') THEN CAST(ascii(upper(regexp_extract(ref, '[A-Za-z]'))) - 64 AS INTEGER) END AS ref_col,
   CASE WHEN regexp_matches(ref, '^[A-Za-z0-9]+$') THEN CAST(regexp_extract(ref, '[0-9]+') AS INTEGER) END AS ref_row FROM cells""")
@@ -266,7 +256,7 @@ UNION ALL SELECT p_brand, 1, CASE WHEN o = 3 AND NOT p_brand LIKE '%3' THEN 5 EL
   FROM (SELECT DISTINCT p_brand FROM part), (VALUES (0, 'p_partkey'), (1, 'p_name'), (2, 'size'), (3, 'p_retailprice')) v(o, n))
 SELECT p_brand, "row", col, chr(64 + col) || "row" AS ref, t, value, style FROM c""")
 def quantity_cells(spark, sf):
-    return X.to_cells(_quantities(spark, sf), ["p_brand"], _PART_COLUMNS, ["p_partkey"], block_of("p_partkey", 512)).drop("display")
+    return X.to_cells(_quantities(spark, sf), ["p_brand"], _PART_COLUMNS, ["p_partkey"], block_of("p_partkey", 1024)).drop("display")
 
 
 @query("to_cells", f"""WITH o AS (SELECT *, 1 + row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS r FROM orders),
@@ -280,7 +270,7 @@ SELECT o_orderstatus, "row", col, chr(64 + col) || "row" AS ref, t, value, style
 def to_cells(spark, sf):
     columns = ["o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority"]
     orders = V.table(spark, sf, "orders")
-    return X.to_cells(orders, ["o_orderstatus"], columns, ["o_orderkey"], block_of("o_orderkey", 2048)).drop("display")
+    return X.to_cells(orders, ["o_orderstatus"], columns, ["o_orderkey"], block_of("o_orderkey", 4096)).drop("display")
 
 
 _CUSTOMER = f"""WITH o AS (SELECT *, 1 + row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS r FROM customer),

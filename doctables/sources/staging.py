@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_LOCAL: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder from spark.checkpoint.dir; a temporary one in local mode only."""
@@ -15,9 +17,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="doctables-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="doctables-")
+    return _LOCAL[app]
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

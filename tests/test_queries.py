@@ -41,7 +41,7 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(name, spark, duck):
     got = rows(entry_module.queries()[name](spark, SF).toArrow())
-    want = rows(duck.execute(ORACLE[name]).to_arrow_table())
+    want = rows(duck.sql(ORACLE[name]).to_arrow_table())
     assert got[0] == want[0]
     assert len(got[1]) == len(want[1])
     assert got[1] == want[1]
