@@ -211,8 +211,8 @@ EXPECTED = (
     "======================================== ========================================\n\n"
     "## Head\\.\n\nA **bold  \nline**[go*to*](https://example.com/)[^fn2]\n\n"
     "3.\tone\n\n\t-\tsub\n\n\t\tmore\n\n#.\ttwo\n\nplain\n\n3.\tagain\n\n```\n10 GOTO\n```\n\n>>centred<<\n\n" + "-" * 80 + "\n\n"
-    "| &nbsp; |||\n|:---|:---|\n| a | b |\n| [^n1] | z |\n\n".replace("|||\n|:", "||\n|:")
-    + "[%Combo]\n\n[%Legacy]\n\nMy title1\n\n![Caption](data:image/png;base64,iVBORw==)\n\nLoose\n\nend\n\nlast\n\n"
+    "| &nbsp; ||\n|:---|:---|\n| a | b |\n| [^n1] | z |\n\n"
+    "[%Combo]\n\n[%Legacy]\n\nMy title1\n\n![Caption](data:image/png;base64,iVBORw==)\n\nLoose\n\nend\n\nlast\n\n"
     "\n[^n1]:\tx\n\t\n\ty\n\n[^fn2]:\tNote\\.\n\t\n\t\n"
 )
 
