@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -12,6 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_LOCAL: dict[str, str] = {}
 #: Separators of words: space and the ASCII control blanks. `bytes.split()` cuts at the same ones.
 BLANKS = "\\x20\\x09-\\x0D"
 
@@ -27,10 +29,10 @@ def shared_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith(("local[", "local")) or "cluster" in spark.sparkContext.master:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="doctables-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _LOCAL.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="doctables-")
+        _LOCAL[spark.sparkContext.applicationId] = root
     return root if "://" in root else "file://" + os.path.abspath(root)
 
 
