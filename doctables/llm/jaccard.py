@@ -6,7 +6,7 @@
 3. Two sets that link share a shingle of their prefixes. Classes with identical prefix and size form one group.
    Each shingle's groups, by size, are paired with a hub: the first group in reach of its size. Pairs pass a parity
    bitmap (a lower bound of the symmetric difference), are expanded to members and verified on the texts.
-4. Links are closed to components. Groups that share a shingle but lie in different components are then paired in full,
+4. Links are closed to components, and the parts of a shingle's list outside its largest component are paired with other hubs from it. Groups that share a shingle but lie in different components are then paired in full,
    filtered, expanded and verified, so no link between components is lost; pairs inside a component would add nothing.
 """
 
@@ -24,6 +24,8 @@ from doctables.llm.components import connected
 
 SHINGLE = 5
 BATCH_BYTES = 2 << 20
+#: Further rounds of hubs before the exhaustive step; they only save pairs there.
+HUB_ROUNDS = 2
 #: Shingles that stand for more than this share of all go last in the order; so there are at most 1 / share of them.
 OFTEN_SHARE = 2.0**-20
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
@@ -283,14 +285,24 @@ def jaccard_components(docs: DataFrame, threshold: tuple[int, int] = (3, 4), sha
     links = shared.written(verified(shared.written(_plausible(star, bits, num, den), "pairs"), docs, num, den), "links")
     comp = connected(links)
 
-    # Parts of groups by component; pairs of parts of different components that share a shingle.
-    member = inside.union(posted.select("gid", F.col("gid").alias("doc_id")).distinct()).distinct()
-    parts = member.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    parts = shared.written(parts.select("gid", "doc_id", F.coalesce("component", "doc_id").alias("component")), "parts")
-    by_part = posted.select("shingle", "gid", "n").join(parts.select("gid", "component").distinct(), "gid")
-    tally = by_part.groupBy("shingle", "component").agg(F.count("*").alias("k"))
-    most = tally.groupBy("shingle").agg(F.max_by("component", F.struct("k", "component")).alias("main"), F.count("*").alias("comps"))
-    mixed = shared.written(by_part.join(most.filter("comps > 1").select("shingle", "main"), "shingle"), "mixed")
+    def mixed_parts(comp: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Parts of groups by component; postings by part of the shingles that lie in several components."""
+        member = inside.union(posted.select("gid", F.col("gid").alias("doc_id")).distinct()).distinct()
+        found = member.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        found = shared.written(found.select("gid", "doc_id", F.coalesce("component", "doc_id").alias("component")), "parts")
+        by_part = posted.select("shingle", "gid", "n").join(found.select("gid", "component").distinct(), "gid")
+        tally = by_part.groupBy("shingle", "component").agg(F.count("*").alias("k"))
+        most = tally.groupBy("shingle").agg(F.max_by("component", F.struct("k", "component")).alias("main"), F.count("*").alias("comps"))
+        return found, shared.written(by_part.join(most.filter("comps > 1").select("shingle", "main"), "shingle"), "mixed")
+
+    for step in range(HUB_ROUNDS):  # more hubs, each from a shingle's largest component, before all pairs are looked at
+        parts, mixed = mixed_parts(comp)
+        hub = mixed.filter("component = main").groupBy("shingle").agg(F.max_by("gid", F.xxhash64("gid", F.lit(step))).alias("b"))
+        star = mixed.filter("component <> main").join(hub, "shingle").select(F.col("gid").alias("a"), "b").distinct()
+        new = verified(shared.written(_plausible(star, bits, num, den), "pairs"), docs, num, den)
+        links = shared.written(links.union(new), "links")
+        comp = connected(links)
+    parts, mixed = mixed_parts(comp)
     side = lambda x: mixed.select("shingle", F.col("gid").alias(f"g_{x}"), F.col("component").alias(f"c_{x}"), F.col("n").alias(f"n_{x}"))
     left = mixed.filter("component <> main").select("shingle", F.col("gid").alias("g_a"), F.col("component").alias("c_a"), F.col("n").alias("n_a"), "main")
     cross = left.join(side("b"), "shingle").filter("c_a <> c_b and (c_b = main or c_a < c_b)")
