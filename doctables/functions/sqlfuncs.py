@@ -22,10 +22,12 @@ def _col_name() -> str:
     return "concat(" + ", ".join(parts) + ")"
 
 
+_LETTERS = "aggregate(split(translate(upper(ref), '0123456789', ''), ''), 0L, (a, c) -> a * 26 + ascii(c) - 64)"
 _REF = (
-    "CASE WHEN rlike(ref, '^[A-Za-z0-9]+\\\\z') AND length(translate(upper(ref), '0123456789', '')) BETWEEN 1 AND 6 "
-    "AND try_cast(translate(upper(ref), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '') AS INT) IS NOT NULL THEN named_struct("
-    "'col', int(aggregate(split(translate(upper(ref), '0123456789', ''), ''), 0L, (a, c) -> a * 26 + ascii(c) - 64)), "
+    "CASE WHEN rlike(ref, '^[A-Za-z0-9]+\\\\z') AND length(translate(upper(ref), '0123456789', '')) BETWEEN 1 AND 7 "
+    "AND try_cast(translate(upper(ref), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '') AS INT) IS NOT NULL "
+    f"AND {_LETTERS} <= 2147483647 THEN named_struct("
+    f"'col', int({_LETTERS}), "
     "'row', int(translate(upper(ref), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) END"
 )
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from doctables.functions import fixed
 from doctables.functions.fields import header_lines
 from doctables.functions.text import norm_style
-from doctables.operators.notes import pack_text
 
 
 def _col(c: Column | str) -> Column:
@@ -125,8 +124,15 @@ def inject_headers(prop: DataFrame, given: dict[str, str]) -> DataFrame:
 
 
 def header_text(lines: DataFrame) -> DataFrame:
-    """The lines of each document's header as one text, with an empty line after it."""
-    return pack_text(lines, ["path"]).select("path", "part", F.concat("text", F.lit("\n")).alias("text"))
+    """The lines of each document's header as one text, with an empty line after it.
+
+    A header holds a few properties, so it is one row (part 0) in every document.
+    """
+    pieces = F.sort_array(F.collect_list(F.struct("rank", "pos", F.col("text").alias("x"))))
+    text = F.array_join(F.transform("p", lambda x: x["x"]), "")
+    return lines.groupBy("path").agg(pieces.alias("p")).select(
+        "path", F.lit(0).cast("long").alias("part"), F.concat(text, F.lit("\n")).alias("text")
+    )
 
 
 # --- outcome -----------------------------------------------------------------------------------

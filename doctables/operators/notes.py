@@ -8,10 +8,8 @@ from pyspark.sql import functions as F
 from doctables.functions import text as M
 from doctables.operators.running import BLOCK_ROWS, Scan, block_of, running, spread_lookup
 
-PART_CHARS = 64 * 1024 * 1024
-
-# order of the pieces of a document
-HEADER, BODY, TABLE_NOTE, FOOTNOTE, ENDNOTE = range(5)
+# order of the pieces of a document; a header has values, then lengths and options, then its end
+HEADER, HEADER_OPTIONS, HEADER_END, BODY, TABLE_NOTE, FOOTNOTE, ENDNOTE = range(7)
 
 
 def note_refs(ref: DataFrame, note: DataFrame) -> DataFrame:
@@ -74,32 +72,33 @@ def toc_blocks(block: DataFrame, gallery: Column, group: list[str]) -> DataFrame
     return block.where(~is_toc).select("path", "pos", "text").unionByName(places)
 
 
-def pack_text(
-    lines: DataFrame, keys: list[str], text: str = "text", part_chars: int = PART_CHARS, block_rows: int = BLOCK_ROWS
-) -> DataFrame:
-    """Join lines (keys, rank, pos, text) into one text per group: (keys, part, text).
+def part_of(rank: Column | str, pos: Column | str, block_rows: int = BLOCK_ROWS) -> Column:
+    """Number of the stretch of positions that a line lies in; rises with (rank, pos)."""
+    rank = F.col(rank) if isinstance(rank, str) else rank
+    return rank.cast("long") * (1 << 50) + block_of(pos, block_rows) + 1
+
+
+def pack_text(lines: DataFrame, keys: list[str], text: str = "text", block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Join lines (keys, rank, pos, text, and line if given) into texts: (keys, part, text).
 
-    Groups up to ``part_chars`` characters give one row with part 0. Larger ones
-    give several rows, a stretch of ``block_rows`` positions each; in the order
-    of ``part`` they make the whole text. Only the few large groups are looked up.
+    Each stretch of ``block_rows`` positions of a rank gives one row, in documents of every
+    size alike. In the order of ``part`` the rows make the whole text.
     """
-    large = (
-        lines.groupBy(*keys).agg(F.sum(F.length(text)).alias("__chars"))
-        .where(F.col("__chars") > part_chars).select(*keys, F.lit(True).alias("__large"))
-    )
-    stretch = F.col("rank").cast("long") * (1 << 40) + block_of("pos", block_rows) + 1
-    parted = spread_lookup(lines, large, keys, ["rank", "pos"]).withColumn(
-        "part", F.when(F.col("__large"), stretch).otherwise(F.lit(0).cast("long"))
-    )
-    pieces = F.sort_array(F.collect_list(F.struct("rank", "pos", F.col(text).alias("x"))))
+    order = ["rank", "pos", *(["line"] if "line" in lines.columns else [])]
+    pieces = F.sort_array(F.collect_list(F.struct(*order, F.col(text).alias("x"))))
+    parted = lines.withColumn("part", part_of("rank", "pos", block_rows))
     return parted.groupBy(*keys, "part").agg(pieces.alias("p")).select(
         *keys, "part", F.array_join(F.transform("p", lambda x: x["x"]), "").alias("text")
     )
 
 
-def assemble(blocks: list[DataFrame], part_chars: int = PART_CHARS) -> DataFrame:
-    """Documents from their blocks (path, rank, pos, text): header, body, then notes."""
-    lines = blocks[0].select("path", "rank", F.col("pos").cast("long").alias("pos"), "text")
+def assemble(blocks: list[DataFrame], block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Documents from their blocks (path, rank, pos, text, line if given): header, body, then notes."""
+    def ordered(b: DataFrame) -> DataFrame:
+        line = F.col("line") if "line" in b.columns else F.lit(0)
+        return b.select("path", "rank", F.col("pos").cast("long").alias("pos"), line.cast("int").alias("line"), "text")
+
+    lines = ordered(blocks[0])
     for b in blocks[1:]:
-        lines = lines.unionByName(b.select("path", "rank", F.col("pos").cast("long").alias("pos"), "text"))
-    return pack_text(lines, ["path"], part_chars=part_chars)
+        lines = lines.unionByName(ordered(b))
+    return pack_text(lines, ["path"], block_rows=block_rows)

@@ -29,7 +29,11 @@ from doctables.sources.staging import staged
 
 
 def workbook_grid(part: DataFrame) -> DataFrame:
-    """Grid rows as text from the parts of workbooks: (path, sheet_no, row, text)."""
+    """Grid rows as text from the parts of workbooks: (path, sheet_no, row, text).
+
+    Files that could not be read whole are left out.
+    """
+    part = S.readable(part)
     sheet = S.read_sheets(part)
     cell = E.decode_cells(E.resolve_strings(S.read_cells(part, sheet), S.read_shared_strings(part)))
     bounds = E.sheet_bounds(sheet, cell).where("has_data")
@@ -249,7 +253,7 @@ def _joined(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def word_to_markdown(part: DataFrame, now: Column | None = None, part_chars: int = N.PART_CHARS) -> DataFrame:
+def word_to_markdown(part: DataFrame, now: Column | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Markdown of word-processor packages: (path, part, text).
 
     Files that could not be opened are left out. Text boxes and tables inside
@@ -369,7 +373,7 @@ def word_to_markdown(part: DataFrame, now: Column | None = None, part_chars: int
 
     header = _header_blocks(modern_params, legacy_params, shown)
     return N.assemble(
-        [header, body, toc_place, rows, openings, N.table_note_blocks(moved), N.note_blocks(note_table, refs)], part_chars
+        [header, body, toc_place, rows, openings, N.table_note_blocks(moved), N.note_blocks(note_table, refs)], block_rows
     )
 
 
@@ -482,10 +486,9 @@ def _header_blocks(modern: DataFrame, legacy: DataFrame, shown: DataFrame) -> Da
         "path", "pos", "alias", "tag", none.cast("boolean").alias("checked"), "default_value", F.lit("").alias("shown"), "max_len", "items"
     )
     lines = Q.metadata_lines(first.unionByName(second))
-    order = F.shiftleft(F.col("rank").cast("long"), 60) + F.shiftleft("pos", 20) + F.col("line")
     text = F.concat("text", F.lit("\n"))
-    blocks = lines.select("path", F.lit(N.HEADER).alias("rank"), order.alias("pos"), text.alias("text"))
+    blocks = lines.select("path", (F.col("rank") + N.HEADER).alias("rank"), "pos", "line", text.alias("text"))
     ends = lines.select("path").distinct().select(
-        "path", F.lit(N.HEADER).alias("rank"), F.lit(2**62).alias("pos"), F.lit("\n").alias("text")
+        "path", F.lit(N.HEADER_END).alias("rank"), F.lit(0).alias("pos"), F.lit(0).alias("line"), F.lit("\n").alias("text")
     )
     return blocks.unionByName(ends)

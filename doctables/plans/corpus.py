@@ -146,8 +146,8 @@ def classify_input(spark, sf):
     return files.select("path", S.classify_input("length", "error", "kind", "docx").alias("reason"))
 
 
-@query("write_markdown", views("blocks") + r"""SELECT '/out/' || regexp_replace(p.url, '\.[^./]*$', '') || '.md' AS out_path, CAST(0 AS BIGINT) AS part, string_agg(b.text || chr(10) || chr(10), '' ORDER BY b.pos) AS text
-FROM blocks b JOIN pages p ON p.page_id = b.path GROUP BY p.page_id, p.url""")
+@query("write_markdown", views("blocks") + r"""SELECT '/out/' || regexp_replace(p.url, '\.[^./]*$', '') || '.md' AS out_path, CAST(1 AS BIGINT) * 1125899906842624 + CAST(b.pos AS BIGINT) // 16384 + 1 AS part, string_agg(b.text || chr(10) || chr(10), '' ORDER BY b.pos) AS text
+FROM blocks b JOIN pages p ON p.page_id = b.path GROUP BY p.page_id, p.url, CAST(b.pos AS BIGINT) // 16384""")
 def write_markdown(spark, sf):
     blocks = V.blocks(spark, sf).select("path", F.lit(1).alias("rank"), "pos", F.concat("text", F.lit("\n\n")).alias("text"))
     urls = V.table(spark, sf, "pages").select(F.col("page_id").alias("path"), "url")

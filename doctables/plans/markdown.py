@@ -321,9 +321,9 @@ def _page_document(spark, sf):
     return [header, body, links]
 
 
-@query("assemble", views("blocks", "anchors") + f"""SELECT path, CAST(0 AS BIGINT) AS part, string_agg(text, '' ORDER BY rank, pos) AS text FROM (
+@query("assemble", views("blocks", "anchors") + f"""SELECT path, CAST(rank AS BIGINT) * 1125899906842624 + CAST(pos AS BIGINT) // 16384 + 1 AS part, string_agg(text, '' ORDER BY pos) AS text FROM (
   SELECT page_id AS path, 0 AS rank, 0 AS pos, 'Source: ' || url || chr(10) || chr(10) AS text FROM pages
-  UNION ALL SELECT path, 1, pos, CASE WHEN tag = 'h1' THEN '## ' ELSE '' END || {_escaped('text')} || chr(10) || chr(10) FROM blocks
-  UNION ALL SELECT path, 3, CAST(rel_id[2:] AS INTEGER), chr(10) || '[^fn' || rel_id[2:] || ']:' || chr(9) || target || chr(10) FROM anchors) GROUP BY path""")
+  UNION ALL SELECT path, 3, pos, CASE WHEN tag = 'h1' THEN '## ' ELSE '' END || {_escaped('text')} || chr(10) || chr(10) FROM blocks
+  UNION ALL SELECT path, 5, CAST(rel_id[2:] AS INTEGER), chr(10) || '[^fn' || rel_id[2:] || ']:' || chr(9) || target || chr(10) FROM anchors) GROUP BY ALL""")
 def assemble(spark, sf):
     return N.assemble(_page_document(spark, sf))

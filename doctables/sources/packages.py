@@ -10,6 +10,7 @@ import io
 import xml.etree.ElementTree as ET
 import zipfile
 from collections.abc import Iterator
+from xml.parsers import expat
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -103,6 +104,7 @@ def _parts_of(path: str, kind: str | None, content: bytes) -> Iterator[tuple]:
             for part in package.namelist():
                 data = package.read(part)
                 if part.endswith((".xml", ".rels")):
+                    expat.ParserCreate().Parse(data, True)  # malformed XML counts as a damaged file
                     yield path, kind, part, data.decode("utf-8-sig"), None, None
                 else:
                     yield path, kind, part, None, data, None

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from doctables.functions import cells as C
+from doctables.functions import sqlfuncs
 from doctables.operators import cells as E
 from doctables.operators import sheets as X
 from doctables.operators.running import block_of
@@ -110,14 +111,20 @@ def test_golden_grid(spark):
     assert "".join(indented.split()) == "".join(compact.split())
 
 
-def test_grid_fills_rows_and_refuses_large_areas(spark):
-    df = spark.createDataFrame([("b", 0, 5, 2, "x")], "path string, sheet_no int, row int, col int, raw string")
+def test_grid_fills_rows_and_takes_one_text_per_position(spark):
+    df = spark.createDataFrame([("b", 0, 5, 2, "x"), ("b", 0, 5, 2, "w")], "path string, sheet_no int, row int, col int, raw string")
     bounds = spark.createDataFrame([("b", 0, 1, 3, 3, 9000)], "path string, sheet_no int, left int, top int, right int, bottom int")
     rows = E.grid_rows(df, bounds)
     assert rows.count() == 8998
     assert rows.where("row = 5").first()["values"] == [None, "x", None]
-    with pytest.raises(Exception, match="area"):
-        E.grid_rows(df, bounds, max_area=100).count()
+
+
+@pytest.mark.parametrize("ref,want", [("FXSHRXW1", (2147483647, 1)), ("FXSHRXX1", None), ("B7", (2, 7)), ("AAAAAAAA1", None)])
+def test_sql_form_agrees_with_expression(spark, ref, want):
+    sqlfuncs.register(spark)
+    df = spark.createDataFrame([(ref,)], "ref string")
+    got = df.select(C.parse_ref("ref").alias("a"), F.expr("cell_parse_ref(ref)").alias("b")).first()
+    assert got["a"] == got["b"] == want
 
 
 def test_units_and_header(spark):

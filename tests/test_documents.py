@@ -155,11 +155,11 @@ def test_large_cells_become_notes(spark):
     assert moved == [(1, "a\n\nb"), (2, "d|e")]
 
 
-def test_pack_text_splits_only_large_groups(spark):
+def test_pack_text_cuts_all_groups_alike(spark):
     data = [("big", 1, i, f"{i};") for i in range(100)] + [("small", 0, 5, "b"), ("small", 1, 0, "c"), ("small", 0, 1, "a")]
     df = spark.createDataFrame(data, "path string, rank int, pos int, text string")
-    got = N.pack_text(df, ["path"], part_chars=50, block_rows=30).orderBy("path", "part").collect()
-    assert [r["text"] for r in got if r["path"] == "small"] == ["abc"]
+    got = N.pack_text(df, ["path"], block_rows=30).orderBy("path", "part").collect()
+    assert [r["text"] for r in got if r["path"] == "small"] == ["ab", "c"]
     big = [r["text"] for r in got if r["path"] == "big"]
     assert len(big) == 4 and "".join(big) == "".join(f"{i};" for i in range(100))
 
@@ -224,9 +224,12 @@ def test_word_to_markdown(spark):
     )
     files = [("a.docx", "docx", len(docx), docx), ("bad.docx", "docx", 3, b"PK?")]
     parts = staged(unpack(spark.createDataFrame(files, G.SCHEMA)), "parts")
-    got = {r["path"]: r["text"] for r in word_to_markdown(parts).collect()}
-    assert set(got) == {"a.docx"}
-    assert got["a.docx"] == EXPECTED
+    for block_rows in (1, 7, None):
+        args = {"block_rows": block_rows} if block_rows else {}
+        rows = word_to_markdown(parts, **args).orderBy("path", "part").collect()
+        assert {r["path"] for r in rows} == {"a.docx"}
+        assert len({r["part"] for r in rows}) == len(rows)
+        assert "".join(r["text"] for r in rows) == EXPECTED
 
 
 def test_escape_is_undone_by_removing_backslashes(spark):

@@ -1,6 +1,8 @@
 """Reading, writing and streaming real files in a fresh folder."""
 
+import io
 import tempfile
+import zipfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 from doctables.operators import corpus as K
 from doctables.operators import params as Q
 from doctables.plans import packages as G
-from doctables.plans.convert import workbook_grid
+from doctables.plans.convert import word_to_markdown, workbook_grid
 from doctables.sources import packages as S
 from doctables.streaming.convert import stream_convert
 
@@ -58,6 +60,25 @@ def test_empty_content_is_a_decode_error_and_classified(spark):
     assert got == {"e.docx": "no content", "x.docx": "decode error"}
 
 
+def test_malformed_xml_is_a_damaged_file(spark):
+    good = G.docx_bytes("<w:p><w:r><w:t>fine</w:t></w:r></w:p>")
+    bad = G.docx_bytes("<w:p><w:r><w:t>open</w:t></w:r>")
+    files = [("/in/good.docx", "docx", len(good), good), ("/in/bad.docx", "docx", len(bad), bad)]
+    parts = S.unpack(spark.createDataFrame(files, G.SCHEMA))
+    assert names(parts.where("error is not null")) == ["bad.docx"]
+    assert [(r["path"], r["text"]) for r in word_to_markdown(parts).collect()] == [("/in/good.docx", "fine\n\n")]
+
+
+def test_half_read_workbooks_are_left_out(spark, landing):
+    file = S.scan_packages(spark, landing, "*.xlsx").first()
+    parts = {n: zipfile.ZipFile(io.BytesIO(file["content"])).read(n) for n in zipfile.ZipFile(io.BytesIO(file["content"])).namelist()}
+    parts["xl/worksheets/sheet9.xml"] = b"<worksheet><sheetData>"
+    data = G.zip_bytes(parts)
+    files = [("good.xlsx", "xlsx", len(file["content"]), bytes(file["content"])), ("half.xlsx", "xlsx", len(data), data)]
+    got = workbook_grid(S.unpack(spark.createDataFrame(files, G.SCHEMA))).collect()
+    assert [(r["path"], r["text"]) for r in got] == [("good.xlsx", '[1," s "]')]
+
+
 def test_workbook(spark, landing):
     parts = S.unpack(S.scan_packages(spark, landing, "*.xlsx"))
     assert [r["text"] for r in workbook_grid(parts).collect()] == ['[1," s "]']
@@ -72,8 +93,6 @@ def test_prefixed_and_rich_workbook_parts(spark):
         "<x:c r='C1' t='str'><x:f>F()</x:f><x:v> v </x:v></x:c></x:row></x:sheetData></x:worksheet>"
     )
     book = G.xlsx_bytes([("S", None, "")], [])
-    import io
-    import zipfile
 
     parts = {n: zipfile.ZipFile(io.BytesIO(book)).read(n) for n in zipfile.ZipFile(io.BytesIO(book)).namelist()}
     parts["xl/worksheets/sheet1.xml"] = xml.encode()
