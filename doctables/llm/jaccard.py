@@ -6,7 +6,8 @@
 3. Two sets that link share a shingle of their prefixes. Classes with identical prefix and size form one group.
    Each shingle's groups, by size, are paired with a hub: the first group in reach of its size. Pairs pass a parity
    bitmap (a lower bound of the symmetric difference), are expanded to members and verified on the texts.
-4. Links are closed to components, and the parts of a shingle's list outside its largest component are paired with other hubs from it. Groups that share a shingle but lie in different components are then paired in full,
+4. Links are closed to components, and the parts of a shingle's list outside its largest component are paired with other hubs from it; each round closes
+   only the links between components. Groups that share a shingle but lie in different components are then paired in full,
    filtered, expanded and verified, so no link between components is lost; pairs inside a component would add nothing.
 """
 
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from doctables.llm import shared
-from doctables.llm.components import connected
+from doctables.llm.components import connected, merged
 
 SHINGLE = 5
 BATCH_BYTES = 2 << 20
@@ -281,9 +282,7 @@ def jaccard_components(docs: DataFrame, threshold: tuple[int, int] = (3, 4), sha
 
     star = posted.filter("gid <> hub").select(F.col("gid").alias("a"), F.col("hub").alias("b"))
     star = star.union(inside.filter("gid <> doc_id").select(F.col("doc_id").alias("a"), F.col("gid").alias("b"))).distinct()
-    same_id = of_class.filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
-    links = shared.written(verified(shared.written(_plausible(star, bits, num, den), "pairs"), docs, num, den), "links")
-    comp = connected(links)
+    comp = connected(shared.written(verified(shared.written(_plausible(star, bits, num, den), "pairs"), docs, num, den), "links"))
 
     def mixed_parts(comp: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Parts of groups by component; postings by part of the shingles that lie in several components."""
@@ -299,9 +298,7 @@ def jaccard_components(docs: DataFrame, threshold: tuple[int, int] = (3, 4), sha
         parts, mixed = mixed_parts(comp)
         hub = mixed.filter("component = main").groupBy("shingle").agg(F.max_by("gid", F.xxhash64("gid", F.lit(step))).alias("b"))
         star = mixed.filter("component <> main").join(hub, "shingle").select(F.col("gid").alias("a"), "b").distinct()
-        new = verified(shared.written(_plausible(star, bits, num, den), "pairs"), docs, num, den)
-        links = shared.written(links.union(new), "links")
-        comp = connected(links)
+        comp = merged(comp, shared.written(verified(shared.written(_plausible(star, bits, num, den), "pairs"), docs, num, den), "links"))
     parts, mixed = mixed_parts(comp)
     side = lambda x: mixed.select("shingle", F.col("gid").alias(f"g_{x}"), F.col("component").alias(f"c_{x}"), F.col("n").alias(f"n_{x}"))
     left = mixed.filter("component <> main").select("shingle", F.col("gid").alias("g_a"), F.col("component").alias("c_a"), F.col("n").alias("n_a"), "main")
@@ -314,11 +311,13 @@ def jaccard_components(docs: DataFrame, threshold: tuple[int, int] = (3, 4), sha
     within = parts.join(within, "gid")
     within = within.alias("x").join(within.alias("y"), F.expr("x.gid = y.gid and x.component < y.component")).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
     rest = shared.written(_plausible(rest.union(within).distinct(), bits, num, den), "more-pairs")
-    more = verified(rest, docs, num, den) if not rest.isEmpty() else rest
-    comp = connected(shared.written(links.union(more).union(same_id), "all-links"))
-
+    # Copies take the component of their class; a doc_id with several texts links their classes.
+    of_doc = of_class.groupBy("doc_id").agg(F.min("rep").alias("rep"), F.max("rep").alias("last"))
+    several = of_class.join(of_doc.filter("rep < last").select("doc_id", F.col("rep").alias("a")), "doc_id").select("a", F.col("rep").alias("b"))
+    comp = merged(comp, shared.written(verified(rest, docs, num, den).union(several), "links"))
+    found = of_doc.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("component"))
     ids = made.select("doc_id", F.col("n").alias("n_shingles"))
-    return ids.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    return ids.join(found, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, threshold: tuple[int, int] = (3, 4)) -> DataFrame:
