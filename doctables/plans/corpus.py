@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from doctables.functions import fixed, sqlfuncs
 from doctables.functions.fields import header_lines as lines_of
 from doctables.operators import corpus as K
+from doctables.operators import notes as N
 from doctables.operators.notes import pack_text
 from doctables.plans import views as V
 from doctables.plans.markdown import _escaped
@@ -146,9 +147,9 @@ def classify_input(spark, sf):
     return files.select("path", S.classify_input("length", "error", "kind", "docx").alias("reason"))
 
 
-@query("write_markdown", views("blocks") + r"""SELECT '/out/' || regexp_replace(p.url, '\.[^./]*$', '') || '.md' AS out_path, CAST(1 AS BIGINT) * 1125899906842624 + CAST(b.pos AS BIGINT) // 16384 + 1 AS part, string_agg(b.text || chr(10) || chr(10), '' ORDER BY b.pos) AS text
+@query("write_markdown", views("blocks") + rf"""SELECT '/out/' || regexp_replace(p.url, '\.[^./]*$', '') || '.md' AS out_path, CAST({N.BODY} AS BIGINT) * 1125899906842624 + CAST(b.pos AS BIGINT) // 16384 + 1 AS part, string_agg(b.text || chr(10) || chr(10), '' ORDER BY b.pos) AS text
 FROM blocks b JOIN pages p ON p.page_id = b.path GROUP BY p.page_id, p.url, CAST(b.pos AS BIGINT) // 16384""")
 def write_markdown(spark, sf):
-    blocks = V.blocks(spark, sf).select("path", F.lit(1).alias("rank"), "pos", F.concat("text", F.lit("\n\n")).alias("text"))
+    blocks = V.blocks(spark, sf).select("path", F.lit(N.BODY).alias("rank"), "pos", F.concat("text", F.lit("\n\n")).alias("text"))
     urls = V.table(spark, sf, "pages").select(F.col("page_id").alias("path"), "url")
     return S.markdown_files(pack_text(blocks, ["path"]).join(urls, "path").drop("path").withColumnRenamed("url", "path"), "", "/out")

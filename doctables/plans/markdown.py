@@ -276,7 +276,7 @@ def note_refs(spark, sf):
     return N.note_refs(V.note_refs(spark, sf), V.notes(spark, sf)).select("path", "pos", "md")
 
 
-@query("note_blocks", views("notes", "note_refs") + """SELECT path, CASE kind WHEN 'fn' THEN 3 ELSE 4 END AS rank, id AS pos, chr(10) || '[^' || kind || id || ']:' ||
+@query("note_blocks", views("notes", "note_refs") + f"""SELECT path, CASE kind WHEN 'fn' THEN {N.FOOTNOTE} ELSE {N.ENDNOTE} END AS rank, id AS pos, chr(10) || '[^' || kind || id || ']:' ||
   array_to_string(list_transform(string_split(md, chr(10)), lambda l: chr(9) || l || chr(10)), '') AS text FROM notes SEMI JOIN note_refs USING (path, kind, id)""")
 def note_blocks(spark, sf):
     return N.note_blocks(V.notes(spark, sf), V.note_refs(spark, sf))
@@ -322,8 +322,8 @@ def _page_document(spark, sf):
 
 
 @query("assemble", views("blocks", "anchors") + f"""SELECT path, CAST(rank AS BIGINT) * 1125899906842624 + CAST(pos AS BIGINT) // 16384 + 1 AS part, string_agg(text, '' ORDER BY pos) AS text FROM (
-  SELECT page_id AS path, 0 AS rank, 0 AS pos, 'Source: ' || url || chr(10) || chr(10) AS text FROM pages
-  UNION ALL SELECT path, 3, pos, CASE WHEN tag = 'h1' THEN '## ' ELSE '' END || {_escaped('text')} || chr(10) || chr(10) FROM blocks
-  UNION ALL SELECT path, 5, CAST(rel_id[2:] AS INTEGER), chr(10) || '[^fn' || rel_id[2:] || ']:' || chr(9) || target || chr(10) FROM anchors) GROUP BY ALL""")
+  SELECT page_id AS path, {N.HEADER} AS rank, 0 AS pos, 'Source: ' || url || chr(10) || chr(10) AS text FROM pages
+  UNION ALL SELECT path, {N.BODY}, pos, CASE WHEN tag = 'h1' THEN '## ' ELSE '' END || {_escaped('text')} || chr(10) || chr(10) FROM blocks
+  UNION ALL SELECT path, {N.FOOTNOTE}, CAST(rel_id[2:] AS INTEGER), chr(10) || '[^fn' || rel_id[2:] || ']:' || chr(9) || target || chr(10) FROM anchors) GROUP BY ALL""")
 def assemble(spark, sf):
     return N.assemble(_page_document(spark, sf))
