@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from doctables.llm import bitpack, jaccard, langid, mixing, packing, ppm, quality, toolcalls, topk, warc
+from doctables.llm import (
+    bitpack,
+    collocations,
+    hyperminhash,
+    jaccard,
+    langid,
+    mixing,
+    packing,
+    ppm,
+    quality,
+    repair,
+    toolcalls,
+    topk,
+    warc,
+)
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -15,5 +29,8 @@ QUERIES = {
     "op8_jaccard_join": jaccard.op8_jaccard_join,
     "op9_packed_sequences": packing.op9_packed_sequences,
     "op10_ppm_scores": ppm.op10_ppm_scores,
+    "op11_hyperminhash": hyperminhash.op11_hyperminhash,
+    "op12_collocations": collocations.op12_collocations,
+    "op13_conversation_repair": repair.op13_conversation_repair,
 }
-ORACLE = {**quality.ORACLE, **warc.ORACLE, **topk.ORACLE}
+ORACLE = {**quality.ORACLE, **warc.ORACLE, **topk.ORACLE, **hyperminhash.ORACLE, **collocations.ORACLE, **repair.ORACLE}
