@@ -1,9 +1,9 @@
 """Phrase collocations by marginalising counted lead windows.
 
-1. Word counts and counts of adjacent word pairs are summed over all documents by 64-bit key; those that reach the
-   minimum become bitmaps of a fixed size. A bit may stand for several words (it then only lets more windows
-   through), but no word or pair that reaches the minimum is without its bit. So a window may end early, before a
-   word that no phrase of the minimum count can hold, and nothing that counts is lost.
+1. Words, then pairs of such words, then triples of such pairs are counted over all documents by 64-bit key; those that
+   reach the minimum become bitmaps of a fixed size. A bit may stand for several of them (it then only lets more
+   windows through), but none that reaches the minimum is without its bit. So a window may end early, before a word
+   that no phrase of the minimum count can hold, and nothing that counts is lost.
 2. At each remaining position the word and its leads form the columns w1 ... w5 of the longest window, padded with
    empty text past the end. Only these windows are counted.
 3. One ROLLUP over (lang, w1, ..., w5) sums the windows by each shorter prefix: a phrase occurs as often as windows
@@ -29,10 +29,14 @@ MAX_WORDS = 5
 TOP = 2000
 #: A phrase falls when a longer candidate around it has at least this per cent of its count.
 HELD_BY = 100
+#: Longest runs counted before the windows.
+RUNS = 3
 #: Bits of each bitmap: 8 MB, whatever the corpus.
 BITMAP_BITS = 26
-#: Words or windows a task holds before it hands out its sums.
-HELD = 2_000_000
+#: Keys or distinct windows a task holds before it hands out its sums.
+HELD = 1_000_000
+#: Bits of a word's number within a task; three numbers share a 64-bit integer.
+NUMBER_BITS = 21
 PIECES = classes(b" \t", b".,;:!?\n\x0b\x0c\r")
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
@@ -56,12 +60,21 @@ class _Batch:
         spoken = np.array([xxh3_64_intdigest(x.encode("utf-8", "surrogatepass"), 1) for x in self.langs.dictionary.to_pylist()], np.uint64)
         self.key = _mixed(known[self.words.of] * ODD[0] + spoken[self.lang]) if len(self.words.of) else np.zeros(0, np.uint64)
 
-    def pairs(self, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions of frequent words that a frequent word of the same piece follows, and the keys of these pairs."""
-        often = _marked(bits, self.key)
+    def runs(self, held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Positions at which a run of len(held) + 1 words of one piece begins whose shorter runs all have their bits,
+        and the keys of these runs; held has the bitmaps of runs of 1, 2, ... words."""
         piece = self.words.piece
-        at = np.flatnonzero(often[:-1] & often[1:] & (piece[1:] == piece[:-1])) if len(piece) else np.zeros(0, np.int64)
-        return at, _mixed(self.key[at] * ODD[1] + _mixed(self.key[at + 1] + ODD[0]))
+        at, key = np.arange(len(self.key)), self.key
+        for size, bits in enumerate(held, 1):
+            has = np.zeros(len(piece) + 1, bool)
+            has[at[_marked(bits, key)]] = True
+            at = np.flatnonzero(has[:-1] & has[1:])
+            at = at[at + size < len(piece)]
+            at = at[piece[at + size] == piece[at]]
+            key = self.key[at]
+            for i in range(1, size + 1):
+                key = _mixed(key * ODD[1] + self.key[at + i] + ODD[0])
+        return at, key
 
 
 def _marked(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -114,61 +127,79 @@ def _sent(spark: SparkSession, bits: np.ndarray):
     return spark.sparkContext.broadcast(bits.tobytes())
 
 
-def windows(docs: DataFrame, words_held, pairs_held, max_words: int) -> DataFrame:
-    """(lang, w1, ..., count): longest windows of frequent words, each task's summed."""
+def windows(docs: DataFrame, sent: list, max_words: int) -> DataFrame:
+    """(lang, w1, ..., count): longest windows of words whose runs have their bits, each task's summed."""
     names = [f"w{i + 1}" for i in range(max_words)]
+    width = -(-(max_words + 1) // 3)
+
+    def packed(columns: list[np.ndarray]) -> np.ndarray:
+        """Numbers of lang and words, three to an integer."""
+        out = np.zeros((width, len(columns[0])), np.uint64)
+        for i, c in enumerate(columns):
+            out[i // 3] |= c.astype(np.uint64) << np.uint64(NUMBER_BITS * (2 - i % 3))
+        return out
 
     def lead(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often, paired = (np.frombuffer(x.value, np.uint8) for x in (words_held, pairs_held))
+        held = [np.frombuffer(x.value, np.uint8) for x in sent]
         ids: dict[bytes, int] = {b"": 0}
         langs: dict[str, int] = {}
-        rows: list[np.ndarray] = []
+        rows: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
 
-        def out():
-            if not rows:
-                return
-            table = np.concatenate(rows, axis=1)
-            # exact: windows are compared id by id, never by a hash
+        def merge():
+            """Equal windows become one row; compared number by number, never by a hash."""
+            nonlocal size
+            table, count = np.concatenate([t for t, _ in rows], axis=1), np.concatenate([c for _, c in rows])
             order = np.lexsort(table)
             table = table[:, order]
-            new = np.append(True, (table[:, 1:] != table[:, :-1]).any(axis=0)) if table.shape[1] else np.zeros(0, bool)
-            first = np.flatnonzero(new)
-            count = np.diff(np.append(first, table.shape[1]))
+            first = np.flatnonzero(np.append(True, (table[:, 1:] != table[:, :-1]).any(axis=0)))
+            rows[:] = [(table[:, first], np.add.reduceat(count[order], first))]
+            size = len(first)
+
+        def out():
+            if not size:
+                return
+            merge()
+            (table, count), = rows
             known, spoken = pa.array(list(ids), pa.binary()).cast(pa.string()), pa.array(list(langs), pa.string())
-            for a in range(0, len(first), 1 << 16):
-                part = first[a : a + (1 << 16)]
-                cols = {"lang": spoken.take(pa.array(table[0, part]))}
-                cols |= {c: known.take(pa.array(table[i + 1, part])) for i, c in enumerate(names)}
+            for a in range(0, size, 1 << 16):
+                part = table[:, a : a + (1 << 16)]
+                number = lambda i: pa.array((part[i // 3] >> np.uint64(NUMBER_BITS * (2 - i % 3)) & np.uint64((1 << NUMBER_BITS) - 1)).astype(np.int64))
+                cols = {"lang": spoken.take(number(0))} | {c: known.take(number(i)) for i, c in enumerate(names, 1)}
                 yield pa.RecordBatch.from_pydict(cols | {"count": count[a : a + (1 << 16)]})
-            rows.clear()
-            ids.clear()
-            ids[b""] = 0
-            langs.clear()
 
-        n = 0
         for batch in _batches(it):
-            at, pair = batch.pairs(often)
-            size = len(batch.key)
-            follows = np.zeros(size, bool)
-            follows[at[_marked(paired, pair)]] = True
-            begins = np.flatnonzero(_marked(often, batch.key))
+            if len(ids) + len(batch.words.known) >= 1 << NUMBER_BITS or size > HELD:
+                if size:
+                    merge()
+                if len(ids) + len(batch.words.known) >= 1 << NUMBER_BITS or size > HELD // 2:
+                    yield from out()
+                    rows, ids, size = [], {b"": 0}, 0
+            goes = [np.zeros(len(batch.key) + 1, bool) for _ in held]
+            for k in range(len(held)):
+                at, key = batch.runs(held[:k])
+                goes[k][at[_marked(held[k], key)]] = True
+            begins = np.flatnonzero(goes[0])
             if not len(begins):
                 continue
-            used, of = np.unique(batch.words.of[begins], return_inverse=True)
-            to = np.zeros(len(batch.words.known), np.int32)
+            used = np.flatnonzero(np.bincount(batch.words.of[begins], minlength=len(batch.words.known)))
+            to = np.zeros(len(batch.words.known), np.int64)
             to[used] = [ids.setdefault(batch.words.known[i], len(ids)) for i in used.tolist()]
-            tongue = np.array([langs.setdefault(x, len(langs)) for x in batch.langs.dictionary.to_pylist()], np.int32)
-            table = np.zeros((max_words + 1, len(begins)), np.int32)
-            table[0], table[1] = tongue[batch.lang[begins]], to[batch.words.of[begins]]
-            goes = np.arange(len(begins))
+            tongue = np.array([langs.setdefault(x, len(langs)) for x in batch.langs.dictionary.to_pylist()], np.int64)
+            alone = begins[~goes[1][begins]] if max_words > 1 else begins
+            single = np.bincount(batch.lang[alone] * len(to) + batch.words.of[alone], minlength=len(to))
+            some = np.flatnonzero(single)
+            rows.append((packed([tongue[some // len(to)], to[some % len(to)]]), single[some]))
+            at = begins[goes[1][begins]] if max_words > 1 else begins[:0]
+            columns = [tongue[batch.lang[at]], to[batch.words.of[at]]] + [np.zeros(len(at), np.int64) for _ in range(max_words - 1)]
+            on = np.arange(len(at))
             for k in range(1, max_words):
-                goes = goes[follows[begins[goes] + k - 1]]
-                table[k + 1, goes] = to[batch.words.of[begins[goes] + k]]
-            rows.append(table)
-            n += len(begins)
-            if n > HELD:
-                yield from out()
-                n = 0
+                # word k + 1 joins when the longest counted run that it ends has its bit
+                run = min(k + 1, len(held))
+                on = on[goes[run - 1][at[on] + k + 1 - run]]
+                columns[k + 1][on] = to[batch.words.of[at[on] + k]]
+            rows.append((packed(columns), np.ones(len(at), np.int64)))
+            size += len(some) + len(at)
         yield from out()
 
     return docs.mapInArrow(lead, f"lang string, {', '.join(c + ' string' for c in names)}, count long")
@@ -180,11 +211,12 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int =
     docs = docs.select(F.coalesce("lang", F.lit("und")).cast("string").alias("lang"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     enough = F.col("key").isNull() | (F.col("count") >= min_count)
     counted = shared.written(_counts(docs, lambda b: b.key).filter(enough), "word-counts")
-    often = _sent(spark, _bitmap(counted.filter("key is not null")))
-    pairs = _counts(docs, lambda b: b.pairs(np.frombuffer(often.value, np.uint8))[1]).filter("key is not null").filter(enough)
-    paired = _sent(spark, _bitmap(shared.written(pairs, "pair-counts")))
+    sent = [_sent(spark, _bitmap(counted.filter("key is not null")))]
+    for _ in range(min(max_words, RUNS) - 1):
+        runs = _counts(docs, lambda b, sent=tuple(sent): b.runs([np.frombuffer(x.value, np.uint8) for x in sent])[1])
+        sent.append(_sent(spark, _bitmap(shared.written(runs.filter("key is not null").filter(enough), "run-counts"))))
     names = [f"w{i + 1}" for i in range(max_words)]
-    top = windows(docs, often, paired, max_words).groupBy("lang", *names).agg(F.sum("count").alias("count"))
+    top = windows(docs, sent, max_words).groupBy("lang", *names).agg(F.sum("count").alias("count"))
     rolled = top.rollup("lang", *names).agg(F.sum("count").alias("a"), F.grouping_id().alias("over"))
     # prefix of k words: the last max_words - k columns are summed over; its last word is no padding
     real = F.lit(False)

@@ -3,8 +3,8 @@
 1. A document's set holds 64-bit hashes of its word shingles. The first 8 bits of a hash name one of 256 buckets; of the
    rest the bucket keeps its minimum, as count of leading zeros and the 10 bits behind the leading one (16 bits in all).
 2. Equal sets form a class, stood for by its smallest doc_id; all further steps work on classes.
-3. Bands of 6 registers: classes that agree in a band (not empty in both) are candidates. At similarity 0.85 a pair
-   of large sets misses all 42 bands with probability 2e-9, small sets more rarely still.
+3. Bands of 7 registers: classes that agree in a band (not empty in both) are candidates. At similarity 0.85 a pair
+   of large sets misses all 36 bands with probability 1e-6, small sets more rarely still.
 4. In each band bucket the classes are paired with the class that shares most bands with others. Pairs whose estimated
    similarity, corrected for registers that agree by chance, may reach the threshold are verified on their full sets.
 5. Links close to components. In a bucket that still holds several of them, classes outside the largest are paired
@@ -37,9 +37,9 @@ REGISTERS = 1 << BUCKET_BITS
 MANTISSA_BITS = 10
 #: Bits behind the bucket's that a register sees; a float holds them exactly.
 SEEN_BITS = 53
-BAND = 6
+BAND = 7
 BANDS = REGISTERS // BAND
-#: Most bits of a parity bitmap; sets of up to a quarter of it have four bits an element.
+#: Most bits of a parity bitmap; sets of up to half of it have two to four bits an element.
 PARITY_BITS = 8192
 #: Standard errors an estimate may lie below the threshold.
 ERRORS = 5.0
@@ -116,7 +116,7 @@ def bands(regs: np.ndarray) -> np.ndarray:
 
 def parity(hashes: np.ndarray) -> np.ndarray:
     """Parity bitmap of a set as 64-bit words, a power of two of them."""
-    bits = min(PARITY_BITS, max(64, 4 << max(0, len(hashes) - 1).bit_length()))
+    bits = min(PARITY_BITS, max(64, 2 << max(0, len(hashes) - 1).bit_length()))
     odd = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1
     return np.packbits(odd).view(np.uint64)
 
@@ -220,8 +220,12 @@ def _estimated(pairs: DataFrame, nodes: DataFrame, threshold: tuple[int, int]) -
                 keep = plausible(_table(part.column("regs_a")), _table(part.column("regs_b")), n_a, n_b, threshold)
                 yield part.select(["a", "b"]).filter(pa.array(keep))
 
-    side = lambda x: nodes.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"), F.col("regs").alias(f"regs_{x}"), F.col("bits").alias(f"bits_{x}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(may, "a long, b long").distinct()
+    num, den = threshold
+    size = lambda x: nodes.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"))
+    side = lambda x: nodes.select(F.col("rep").alias(x), F.col("regs").alias(f"regs_{x}"), F.col("bits").alias(f"bits_{x}"))
+    # sizes first: they are short, and rule out many pairs
+    near = pairs.join(size("a"), "a").join(size("b"), "b").filter(den * F.least("n_a", "n_b") >= num * F.greatest("n_a", "n_b")).distinct()
+    return near.join(side("a"), "a").join(side("b"), "b").mapInArrow(may, "a long, b long").distinct()
 
 
 def verified(pairs: DataFrame, docs: DataFrame, threshold: tuple[int, int], k: int = SHINGLE) -> DataFrame:
