@@ -42,7 +42,7 @@ def workbook_grid(part: DataFrame) -> DataFrame:
 
 # --- elements -------------------------------------------------------------------------
 
-_DOC = "word/document.xml"
+_DOC = S.TEXTS["officeDocument"]
 PARA = ["path", "part", "p"]
 
 
@@ -110,7 +110,7 @@ def paragraph_properties(el: DataFrame) -> DataFrame:
 
 def numbering_tables(el: DataFrame) -> tuple[DataFrame, DataFrame]:
     """List instances and level formats."""
-    rows = el.where(F.col("part") == "word/numbering.xml")
+    rows = el.where(F.col("part") == S.TEXTS["officeDocument/numbering"])
     nums = rows.where(_is("num")).select("path", "pos", _val("numId").try_cast("int").alias("num_id"))
     used = rows.where(_is("abstractNumId")).select(
         "path", _in("num").alias("pos"), _val().try_cast("int").alias("abstract_id")
@@ -181,17 +181,14 @@ def legacy_controls(el: DataFrame) -> DataFrame:
 # --- inline items -----------------------------------------------------------------------------
 
 
-def _images(el: DataFrame, part: DataFrame, rels: DataFrame) -> DataFrame:
+def _images(el: DataFrame, part: DataFrame) -> DataFrame:
     """Embedded images of the main text: (path, pos, uri)."""
-    files = part.where(F.col("bin").isNotNull()).select("path", F.col("part").alias("target"), "bin")
-    targets = rels.select("path", F.col("rel_id").alias("embed"), F.concat(F.lit("word/"), "target").alias("target"))
-    extension = F.lower(F.regexp_extract("target", r"\.([^./]*)\z", 1))
-    kind = F.concat(F.lit("image/"), F.when(extension == "jpg", "jpeg").otherwise(extension))
+    files = S.read_images(part).withColumnRenamed("rel_id", "embed")
     return (
         el.where(_is("blip") & (F.col("part") == _DOC) & _val("embed").isNotNull())
-        .select("path", "pos", _val("embed").alias("embed"))
-        .join(targets, ["path", "embed"]).join(files, ["path", "target"])
-        .select("path", "pos", M.image_uri(kind, "bin").alias("uri"))
+        .select("path", "part", "pos", _val("embed").alias("embed"))
+        .join(files, ["path", "part", "embed"])
+        .select("path", "pos", M.image_uri(F.col("content_type"), "bin").alias("uri"))
     )
 
 
@@ -262,7 +259,7 @@ def word_to_markdown(part: DataFrame, now: Column | None = None, block_rows: int
     now = F.current_timestamp() if now is None else now
     ok = S.readable(part)
     el = staged(word_elements(ok), "elements")
-    rels = S.read_rels(ok).where(F.col("owner") == "document.xml").select("path", "rel_id", "target")
+    rels = S.read_links(ok)
     prop = S.read_props(ok)
 
     paras = paragraph_properties(el)
@@ -277,7 +274,7 @@ def word_to_markdown(part: DataFrame, now: Column | None = None, block_rows: int
     modern_params = modern.where((F.length("alias") > 0) & P.control_type("tag").isNotNull())
 
     # runs, with images and legacy form fields inside
-    images = _images(el, ok, rels)
+    images = _images(el, ok)
     extra = legacy_params.select("path", "pos", P.placeholder("alias").alias("md")).unionByName(
         images.select("path", "pos", F.lit(_IMAGE).alias("md"))
     )
@@ -324,7 +321,7 @@ def word_to_markdown(part: DataFrame, now: Column | None = None, block_rows: int
 
     # links hold several runs
     targets = el.where(_is("hyperlink")).select("path", "part", F.col("pos").alias("link"), _val("id").alias("rel_id")).join(
-        rels, ["path", "rel_id"], "left"
+        rels, ["path", "part", "rel_id"], "left"
     ).select("path", "part", "link", F.coalesce("target", F.lit("")).alias("target"))
     linked = _joined(inline.where(F.col("link").isNotNull()), [*PARA, "link"]).join(targets, ["path", "part", "link"], "left")
     linked = linked.select(

@@ -19,8 +19,12 @@ from pyspark.sql import functions as F
 from doctables.functions import cells as C
 from doctables.functions import fixed
 from doctables.operators.corpus import output_path
+from doctables.sources import split
 
-PART_SCHEMA = "path string, kind string, part string, xml string, bin binary, error string"
+PART_SCHEMA = (
+    "path string, kind string, part string, xml string, bin binary, error string, "
+    "role string, content_type string, via array<struct<owner string, rel_id string>>"
+)
 ELEMENT_SCHEMA = (
     "path string, part string, pos bigint, depth int, parent bigint, ns string, tag string, "
     "attrs map<string,string>, within map<string,bigint>, text string"
@@ -48,6 +52,7 @@ def classify_input(length: Column | str, error: Column | str, kind: Column | str
     length, error, kind = (F.col(c) if isinstance(c, str) else c for c in (length, error, kind))
     return (
         F.when(F.coalesce(length, F.lit(0)) == 0, "no content")
+        .when(error.endswith(split.NO_MAIN_PART), "not the expected kind")
         .when(error.isNotNull(), "decode error")
         .when(~kind.eqNullSafe(F.lit(wanted)), "not the expected kind")
     )
@@ -94,22 +99,29 @@ def _batches(rows: Iterator[tuple], schema: pa.Schema, max_rows: int, max_bytes:
 
 _PART_ARROW = pa.schema([
     ("path", pa.string()), ("kind", pa.string()), ("part", pa.string()),
-    ("xml", pa.string()), ("bin", pa.binary()), ("error", pa.string()),
+    ("xml", pa.string()), ("bin", pa.binary()), ("error", pa.string()), ("role", pa.string()), ("content_type", pa.string()),
+    ("via", pa.list_(pa.struct([("owner", pa.string()), ("rel_id", pa.string())]))),
 ])
 
 
 def _parts_of(path: str, kind: str | None, content: bytes) -> Iterator[tuple]:
     try:
         with zipfile.ZipFile(io.BytesIO(content)) as package:
+            found = split.closure(package)
+            split.main_part(found)
+            by_part, by_extension = split.content_types(package)
             for part in package.namelist():
+                how = found.get(part)
+                content_type = by_part.get(part.lower(), by_extension.get(part.rpartition(".")[2].lower()))
+                reached = (how.role, content_type, [{"owner": o, "rel_id": r} for o, r in how.via]) if how else (None, content_type, None)
                 data = package.read(part)
                 if part.endswith((".xml", ".rels")):
                     expat.ParserCreate().Parse(data, True)  # malformed XML counts as a damaged file
-                    yield path, kind, part, data.decode("utf-8-sig"), None, None
+                    yield path, kind, part, data.decode("utf-8-sig"), None, None, *reached
                 else:
-                    yield path, kind, part, None, data, None
+                    yield path, kind, part, None, data, None, *reached
     except Exception as e:  # a file that cannot be read must not stop the others
-        yield path, kind, None, None, None, f"{type(e).__name__}: {e}"
+        yield path, kind, None, None, None, f"{type(e).__name__}: {e}", None, None, None
 
 
 def _open_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,7 +135,8 @@ def _open_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def unpack(package: DataFrame) -> DataFrame:
-    """Parts of each package; a file that cannot be opened gives one row with ``error``.
+    """Parts of each package with the way relationships lead to them; a file that cannot be opened, or in which no
+    relationship leads to a main part, gives one row with ``error``.
 
     A damaged file may give some parts before its error row; use ``readable`` to
     leave such files out.
@@ -179,7 +192,7 @@ CORE_PROPERTIES = {
 def read_props(part: DataFrame) -> DataFrame:
     """Core properties in long form: (path, name, value). Dates are written without zone mark."""
     schema = ", ".join(f"{tag} string" for tag in CORE_PROPERTIES.values())
-    core = _xml(part.where(F.col("part") == "docProps/core.xml"), schema)
+    core = _xml(part.where(F.col("role") == "core-properties"), schema)
     each = F.array(*[
         F.struct(
             F.lit(name).alias("name"),
@@ -190,37 +203,23 @@ def read_props(part: DataFrame) -> DataFrame:
     return core.select("path", F.explode(each).alias("v")).select("path", "v.*").where(F.length("value") > 0)
 
 
-def _target(source: Column, target: Column) -> Column:
-    """Part a relationship points to; targets are relative to their source or start with ``/``."""
-    return F.when(target.startswith("/"), F.substring(target, 2, 2147483647)).otherwise(F.concat(source, target))
-
-
 def read_sheets(part: DataFrame) -> DataFrame:
     """Sheets in workbook order: (path, sheet_no, sheet_name, part, dim_ref).
 
     One pass over the parts: what is gathered per workbook is its short list of sheets.
     """
     books = "sheets struct<sheet array<struct<_name string, _id string>>>"
-    rels = "Relationship array<struct<_Id string, _Target string>>"
-    wanted = part.select("path", "part", "xml").where(
-        (F.col("part") == "xl/workbook.xml") | (F.col("part") == "xl/_rels/workbook.xml.rels")
-        | F.col("part").startswith("xl/worksheets/sheet")
-    )
-
-    def parsed(test: Column, schema: str) -> Column:
-        return F.from_xml(F.when(test, F.col("xml")), schema, XML_OPTIONS)
-
-    dim = F.struct(F.col("part").alias("part"), _dimension("xml").alias("ref"))
+    is_book = F.col("role") == "officeDocument"
+    wanted = part.select("path", "part", "xml", "role", "via").where(is_book | F.col("role").endswith("sheet"))
+    sheets = F.from_xml(F.when(is_book, F.col("xml")), books, XML_OPTIONS)["sheets"]["sheet"]
+    own = F.struct(F.col("part").alias("part"), _dimension("xml").alias("ref"), F.transform("via", lambda v: v["rel_id"]).alias("ids"))
     per_book = wanted.groupBy("path").agg(
-        F.any_value(parsed(F.col("part") == "xl/workbook.xml", books)["sheets"]["sheet"], True).alias("sheets"),
-        F.any_value(parsed(F.col("part").endswith(".rels"), rels)["Relationship"], True).alias("rels"),
-        F.collect_list(F.when(F.col("part").startswith("xl/worksheets/"), dim)).alias("dims"),
+        F.any_value(sheets, True).alias("sheets"), F.collect_list(F.when(F.col("role").startswith("officeDocument/"), own)).alias("found")
     )
-    listed = per_book.select("path", "rels", "dims", F.posexplode("sheets").alias("sheet_no", "s"))
-    rel = F.get(F.filter("rels", lambda r: r["_Id"] == F.col("s._id")), F.lit(0))["_Target"]
-    placed = listed.withColumn("part", _target(F.lit("xl/"), rel))
-    own = F.get(F.filter("dims", lambda d: d["part"] == F.col("part")), F.lit(0))["ref"]
-    return placed.select("path", "sheet_no", F.col("s._name").alias("sheet_name"), "part", own.alias("dim_ref"))
+    listed = per_book.select("path", "found", F.posexplode("sheets").alias("sheet_no", "s"))
+    hit = F.get(F.filter("found", lambda d: F.array_contains(d["ids"], F.col("s._id"))), F.lit(0))
+    placed = listed.withColumn("hit", hit)
+    return placed.select("path", "sheet_no", F.col("s._name").alias("sheet_name"), "hit.part", F.col("hit.ref").alias("dim_ref"))
 
 
 def _dimension(xml: str) -> Column:
@@ -232,7 +231,7 @@ def _dimension(xml: str) -> Column:
 def read_shared_strings(part: DataFrame) -> DataFrame:
     """Shared strings: (path, idx, text); rich text is joined."""
     schema = "si array<struct<t string, r array<struct<t string>>>>"
-    tables = _xml(part.where(F.col("part") == "xl/sharedStrings.xml"), schema)
+    tables = _xml(part.where(F.col("role") == "officeDocument/sharedStrings"), schema)
     rich = F.array_join(F.transform("s.r", lambda r: r["t"]), "")
     return tables.select("path", F.posexplode("x.si").alias("idx", "s")).select(
         "path", "idx", F.coalesce("s.t", rich, F.lit("")).alias("text")
@@ -249,7 +248,7 @@ def read_cells(part: DataFrame, sheet: DataFrame) -> DataFrame:
         "sheetData struct<row array<struct<c array<struct<_r string, _t string, v string, "
         "is struct<t string, r array<struct<t string>>>>>>>>"
     )
-    sheets = _xml(part.where(F.col("part").startswith("xl/worksheets/")), schema)
+    sheets = _xml(part.where(F.col("role") == "officeDocument/worksheet"), schema).drop("role", "content_type", "via")
     rows = sheets.select("path", "part", F.explode("x.sheetData.row").alias("row"))
     cells = rows.select("path", "part", F.explode("row.c").alias("c"))
     rich = F.array_join(F.transform("c.is.r", lambda r: r["t"]), "")
@@ -305,12 +304,51 @@ def _shred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from _batches(rows(), _ARROW, BATCH_ROWS, BATCH_BYTES)
 
 
+# fixed values: roles of the texts of a word-processor package and the names their elements go by
+TEXTS = {
+    "officeDocument": "word/document.xml",
+    "officeDocument/footnotes": "word/footnotes.xml",
+    "officeDocument/endnotes": "word/endnotes.xml",
+    "officeDocument/numbering": "word/numbering.xml",
+}
+
+
+def text_name(role: Column | str = "role") -> Column:
+    """The usual name of a text by its role, whatever its part is called; null for other parts."""
+    out = F.lit(None).cast("string")
+    for known, name in TEXTS.items():
+        out = F.when(F.col(role) == known, name).otherwise(out)
+    return out
+
+
 def read_elements(part: DataFrame) -> DataFrame:
-    """Elements of the main text, notes and numbering of Word packages, numbered in document order."""
-    texts = part.where(
-        F.col("part").isin("word/document.xml", "word/footnotes.xml", "word/endnotes.xml", "word/numbering.xml")
+    """Elements of the main text, notes and numbering of Word packages, numbered in document order.
+
+    ``part`` is the usual name of the text; the file may call it otherwise.
+    """
+    texts = part.where(F.col("role").isin(*TEXTS)).select("path", text_name().alias("part"), "xml")
+    return texts.mapInArrow(_shred, ELEMENT_SCHEMA)
+
+
+def read_links(part: DataFrame) -> DataFrame:
+    """Relationships of the texts of Word packages: (path, part, rel_id, target), part as in read_elements."""
+    owners = part.where(F.col("role").isin(*TEXTS)).select("path", "part", text_name().alias("name"))
+    rels = read_rels(part).withColumn("part", F.concat("source", "owner"))
+    return rels.join(owners, ["path", "part"]).select("path", F.col("name").alias("part"), "rel_id", "target")
+
+
+def read_images(part: DataFrame) -> DataFrame:
+    """Binary parts that texts of Word packages refer to: (path, part, rel_id, content_type, bin), part as in read_elements.
+
+    The content type is the declared one, else goes by the extension.
+    """
+    owners = part.where(F.col("role").isin(*TEXTS)).select("path", F.col("part").alias("owner"), text_name().alias("part"))
+    extension = F.lower(F.regexp_extract("part", r"\.([^./]*)\z", 1))
+    usual = F.concat(F.lit("image/"), F.when(extension == "jpg", "jpeg").when(extension == "svg", "svg+xml").otherwise(extension))
+    images = part.where(F.col("bin").isNotNull()).select(
+        "path", F.explode("via").alias("v"), F.coalesce("content_type", usual).alias("content_type"), "bin"
     )
-    return texts.select("path", "part", "xml").mapInArrow(_shred, ELEMENT_SCHEMA)
+    return images.select("path", "v.*", "content_type", "bin").join(owners, ["path", "owner"]).drop("owner")
 
 
 # --- sinks ------------------------------------------------------------------------------------
