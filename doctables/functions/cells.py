@@ -11,7 +11,7 @@ from doctables.functions.fixed import MAX_DIGIT_WIDTH, NUMBER_WIDTH_LIMIT
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
 DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?)?\z"
 BOOLEAN = r"^(?i:true|false|1|0)\z"
-INT = r"^[+-]?[0-9]{1,10}\z"
+INT = r"^[+-]?[0-9]+\z"
 
 _INT_MAX = 2147483647
 _LETTERS = 7  # enough for any 32-bit column number

@@ -9,8 +9,11 @@ from doctables.functions import fixed
 from doctables.functions.cells import unify_lines
 from doctables.functions.text import md_escape
 
-# command, argument, kind of switch, switch text
-FIELD = r"(?s)^\s*(\w+)\s*([^\\\s]*)\s*(?:\\([@#*])\s*(.*))?\z"
+# a field instruction is words: its command, arguments (plain or quoted) and switches, each a backslash and one character
+FIELD_WORD = r'"(?:[^"\\]|\\.)*"|\\[^\s"]|[^\s"\\]+'
+FIELD_COMMAND = r"^\s*(\w+)(?![^\s\"\\])"
+# switches that give a format: of dates, numbers, texts
+FORMAT_SWITCHES = ("@", "#", "*")
 # date patterns Spark can format; others fall back to the default
 DATE_FORMAT = (
     r"^(?!.*(?:M{5}|d{3}|H{3}|h{3}|m{3}|s{3}|y{5}))"
@@ -18,7 +21,7 @@ DATE_FORMAT = (
 )
 DEFAULT_DATE_FORMAT = "yyyy-MM-dd HH:mm:ss"
 PLACEHOLDER = r"\[%([^\]]+)\]"
-OPTION = r"^Item\s*([+-]?[0-9]{1,9}) (Value|Display)\z"
+OPTION = r"^Item\s*([+-]?[0-9]+) (Value|Display)\z"
 
 
 def _col(c: Column | str) -> Column:
@@ -31,19 +34,38 @@ def trim_all(s: Column | str) -> Column:
 
 
 def parse_field(instr: Column | str) -> Column:
-    """Field instruction as struct(command, argument, switch, format); null if not of that form."""
-    instr = _col(instr)
-
-    def part(i: int) -> Column:
-        return F.regexp_extract(instr, FIELD, i)
-
+    """Field instruction as struct(command, argument, switch, format); null if it is not a command with at most one
+    argument ahead of its switches.
+
+    The argument is the word right after the command, without quotes; empty if a switch
+    stands there. Of the switches that give a format, dates' go before numbers' and those
+    before texts'; the format is all up to the next switch, without quotes.
+    """
+    words = F.regexp_extract_all(_col(instr), F.lit(FIELD_WORD), F.lit(0))
+
+    def is_switch(word: Column) -> Column:
+        return word.startswith("\\")
+
+    def plain(word: Column) -> Column:
+        quoted = word.startswith('"')
+        return F.when(quoted, F.regexp_replace(F.substr(word, F.lit(2), F.length(word) - 2), r"\\(.)", "$1")).otherwise(word)
+
+    def after(switch: str) -> Column:
+        """Words behind the first such switch, up to the next one; null without it."""
+        at = F.array_position(words, "\\" + switch)
+        rest = F.slice(words, at + 1, F.size(words))
+        stop = F.array_min(F.filter(F.transform(rest, lambda w, i: F.when(is_switch(w), i)), lambda i: i.isNotNull()))
+        return F.when(at > 0, F.array_join(F.transform(F.slice(rest, F.lit(1), F.coalesce(stop, F.size(rest))), plain), " "))
+
+    first, second, third = (F.get(words, F.lit(i)) for i in range(3))
+    switch = F.coalesce(*[F.when(F.array_contains(words, "\\" + x), x) for x in FORMAT_SWITCHES], F.lit(""))
     return F.when(
-        instr.rlike(FIELD),
+        _col(instr).rlike(FIELD_COMMAND) & (second.isNull() | is_switch(second) | third.isNull() | is_switch(third)),
         F.struct(
-            F.upper(part(1)).alias("command"),
-            part(2).alias("argument"),
-            part(3).alias("switch"),
-            part(4).alias("format"),
+            F.upper(first).alias("command"),
+            F.when(second.isNull() | is_switch(second), "").otherwise(plain(second)).alias("argument"),
+            switch.alias("switch"),
+            F.coalesce(*[after(x) for x in FORMAT_SWITCHES], F.lit("")).alias("format"),
         ),
     )
 

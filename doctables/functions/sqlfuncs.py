@@ -31,6 +31,37 @@ _REF = (
     "'row', int(translate(upper(ref), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) END"
 )
 
+def _words() -> str:
+    return f"regexp_extract_all(instr, {_quoted(fields.FIELD_WORD)}, 0)"
+
+
+def _plain(word: str) -> str:
+    unquoted = f"regexp_replace(substr({word}, 2, length({word}) - 2), {_quoted(chr(92) * 2 + '(.)')}, {_quoted('$1')})"
+    return f"IF(startswith({word}, {_quoted(chr(34))}), {unquoted}, {word})"
+
+
+def _is_field() -> str:
+    ends = [f"coalesce(startswith(get({_words()}, {i}), {_quoted(chr(92))}), true)" for i in (1, 2)]
+    return f"instr RLIKE {_quoted(fields.FIELD_COMMAND)} AND ({' OR '.join(ends)})"
+
+
+def _field_argument() -> str:
+    second = f"get({_words()}, 1)"
+    return f"IF({_is_field()} AND NOT coalesce(startswith({second}, {_quoted(chr(92))}), true), {_plain(second)}, '')"
+
+
+def _field_format() -> str:
+    out = "''"
+    for switch in reversed(fields.FORMAT_SWITCHES):
+        mark = _quoted(chr(92) + switch)
+        rest = f"slice({_words()}, array_position({_words()}, {mark}) + 1, size({_words()}))"
+        stops = f"transform({rest}, (x, i) -> IF(startswith(x, {_quoted(chr(92))}), i, NULL))"
+        stop = f"coalesce(array_min(filter({stops}, i -> i IS NOT NULL)), size({rest}))"
+        text = f"array_join(transform(slice({rest}, 1, {stop}), x -> {_plain('x')}), ' ')"
+        out = f"IF(array_contains({_words()}, {mark}), {text}, {out})"
+    return out
+
+
 FUNCTIONS = {
     "cell_col_name(n BIGINT) RETURNS STRING": _col_name(),
     "cell_parse_ref(ref STRING) RETURNS STRUCT<col INT, row INT>": _REF,
@@ -46,9 +77,9 @@ FUNCTIONS = {
         f"floor((length(s) * {fixed.MAX_DIGIT_WIDTH}D + 5) / {fixed.MAX_DIGIT_WIDTH}D * 256) / 256"
     ),
     "md_escape(s STRING) RETURNS STRING": f"regexp_replace(s, {_quoted(_escape_pattern())}, {_quoted(chr(92) * 2 + '$1')})",
-    "field_command(instr STRING) RETURNS STRING": f"upper(nullif(regexp_extract(instr, {_quoted(fields.FIELD)}, 1), ''))",
-    "field_argument(instr STRING) RETURNS STRING": f"regexp_extract(instr, {_quoted(fields.FIELD)}, 2)",
-    "field_format(instr STRING) RETURNS STRING": f"regexp_extract(instr, {_quoted(fields.FIELD)}, 4)",
+    "field_command(instr STRING) RETURNS STRING": f"IF({_is_field()}, upper(get({_words()}, 0)), NULL)",
+    "field_argument(instr STRING) RETURNS STRING": _field_argument(),
+    "field_format(instr STRING) RETURNS STRING": _field_format(),
 }
 
 

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from doctables.functions import text as M
-from doctables.operators.running import BLOCK_ROWS, Scan, block_of, running, spread_lookup
-
-MAX_LEVEL = 8  # lists have nine levels, 0 to 8
+from doctables.operators.running import BLOCK_ROWS, LevelScan, Scan, block_of, running, running_levels, spread_lookup
 
 
 def render_runs(run: DataFrame, text: str = "text") -> DataFrame:
@@ -69,34 +67,48 @@ def drop_field_bookmarks(run: DataFrame, keys: list[str] = ["path"], block_rows:
 
     Runs have kind start, end, field or text. Marks without a partner in the
     paragraph have no effect. The marks themselves are dropped too.
+
+    The balance of marks falls with each end and rises with each start. A run lies
+    in as many bookmarks as the balance stands above its lowest value so far, and
+    as many of them are closed as it falls below the run's from there on; the
+    outermost of these is closed after the first field if it does not fall as far
+    before that field. A block of runs sums up to its change, its lowest balance,
+    whether it has a field and its lowest balance up to the first one; these add up
+    along the paragraph. Rows are shuffled once, and one row per block twice.
     """
-    step = F.when(F.col("kind") == "start", 1).when(F.col("kind") == "end", -1).otherwise(0)
-    block = block_of("pos", block_rows)
-    order = ["pos"]
-    names = run.columns
-    marks = F.col("kind").isin("start", "end")
-    # only paragraphs with a field can lose text
-    touched = run.where(F.col("kind") == "field").select(*keys).distinct()
-    rest = run.join(touched, keys, "left_anti").where(~marks)
-    run = run.join(touched, keys, "left_semi")
-    sums = running(run, keys, order, block, {"__sum": Scan("sum", step)})
-    # an end mark without a start does not go below zero
-    lows = running(sums, keys, order, block, {
-        "__low": Scan("min", F.col("__sum")),
-        "__field": Scan("max", (F.col("kind") == "field").cast("int")),
-    })
-    depth = F.col("__sum") - F.least(F.lit(0), F.col("__low"))
-    lows = lows.withColumn("__depth", depth).withColumn("__phase", F.col("__field"))
-    # lowest depth from here on, before and after the first field apart
-    ahead = running(lows, [*keys, "__phase"], order, block, {
-        "__ahead": Scan("min", F.col("__depth"), backward=True)
-    })
-    later = lows.where(F.col("__phase") == 1).groupBy(*keys).agg(F.min("__depth").alias("__later"))
-    out = spread_lookup(ahead, later, keys, order)
-    reach = F.when(F.col("__phase") == 1, F.col("__ahead") < F.col("__depth")).otherwise(
-        F.coalesce(F.col("__later") < F.col("__ahead"), F.lit(False))
+    rows = run.withColumn("__block", block_of("pos", block_rows))
+    step = F.when(F.col("kind") == "start", 1).when(F.col("kind") == "end", -1).otherwise(0).cast("long")
+    ahead = Window.partitionBy(*keys, "__block").orderBy("pos")
+    upto = ahead.rowsBetween(Window.unboundedPreceding, 0)
+    local = rows.withColumn("__sum", F.sum(step).over(upto)).withColumn("__field", F.max(F.col("kind") == "field").over(upto))
+
+    blocks = local.groupBy(*keys, "__block").agg(
+        F.sum(step).alias("__step"), F.min("__sum").alias("__low"), F.max("__field").alias("__has"),
+        F.min(F.when(~F.col("__field"), F.col("__sum"))).alias("__low_to_field"),
     )
-    return out.where(~reach & ~marks).select(*names).unionByName(rest)
+    along = Window.partitionBy(*keys).orderBy("__block")
+    back = Window.partitionBy(*keys).orderBy(F.desc("__block"))
+    earlier, later = (w.rowsBetween(Window.unboundedPreceding, -1) for w in (along, back))
+    blocks = blocks.withColumn("__base", F.coalesce(F.sum("__step").over(earlier), F.lit(0)))
+    blocks = blocks.withColumn("__seen", F.coalesce(F.max("__has").over(earlier), F.lit(False)))
+    blocks = blocks.withColumn("__past", F.min(F.col("__base") + F.col("__low")).over(earlier))
+    to_field = F.when(~F.col("__seen"), F.col("__base") + F.when(F.col("__has"), F.col("__low_to_field")).otherwise(F.col("__low")))
+    carry = blocks.select(
+        *keys, "__block", "__base", "__seen", "__past",
+        F.min(F.col("__base") + F.col("__low")).over(later).alias("__next"),
+        F.when(~F.col("__has"), F.min(to_field).over(later)).alias("__next_to_field"),
+        (F.col("__seen") | F.col("__has") | F.coalesce(F.max("__has").over(later), F.lit(False))).alias("__any"),
+    )
+    out = local.join(carry, [*keys, "__block"]).withColumn("__at", F.col("__base") + F.col("__sum"))
+    after = Window.partitionBy(*keys, "__block").orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, -1)
+    seen = F.col("__seen") | F.col("__field")
+    out = out.withColumn("__low", F.least(F.lit(0), "__past", F.min("__at").over(upto)))
+    out = out.withColumn("__then", F.least("__next", F.min("__at").over(after)))
+    out = out.withColumn("__to_field", F.least("__next_to_field", F.min(F.when(~seen, F.col("__at"))).over(after)))
+    falls = lambda c: F.greatest(F.lit(0), F.coalesce(F.col("__at") - F.col(c), F.lit(0)))
+    closed = F.least(F.col("__at") - F.col("__low"), falls("__then"))
+    gone = F.col("__any") & (closed > F.when(seen, 0).otherwise(falls("__to_field")))
+    return out.where(~gone & ~F.col("kind").isin("start", "end")).select(*run.columns)
 
 
 def resolve_numbering(paragraph: DataFrame, numbering: DataFrame, level: DataFrame) -> DataFrame:
@@ -107,35 +119,25 @@ def resolve_numbering(paragraph: DataFrame, numbering: DataFrame, level: DataFra
     return spread_lookup(paragraph, known, ["path", "num_id", "ilvl"], ["pos"])
 
 
-def list_marks(paragraph: DataFrame, keys: list[str] = ["path"], max_level: int = MAX_LEVEL, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def list_marks(paragraph: DataFrame, keys: list[str] = ["path"], block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Add ptype, the list mark and, for continuations, the depth of the open list.
 
     Needs num_id, ilvl, fmt, start and the normalised ``style``. An item counts on
     (``#.``) if the nearest earlier paragraph at its level or above is an item of
     the same list at the same level; plain paragraphs end all lists,
-    continuations end none.
+    continuations end none. Lists may have any number of levels.
     """
     kind = F.when(F.col("num_id").isNotNull() & F.col("ilvl").isNotNull(), M.list_kind("fmt"))
     ptype = F.coalesce(kind, F.when(F.col("style") == "LIST", "Continuation"), F.lit("Normal"))
     typed = paragraph.withColumn("ptype", ptype)
     is_item = F.col("ptype").isin("OrderedList", "BulletList")
     held = F.col("ptype") == "Continuation"
-    at = F.when(is_item, F.col("ilvl")).otherwise(0)
-    spot = F.struct(at.alias("level"), F.when(is_item, F.col("num_id")).alias("num"))
-    scans = {
-        f"__l{k}": Scan("last", F.when(~held & (at <= k), spot), before=True)
-        for k in range(max_level + 1)
-    }
-    scans["__depth"] = Scan(
-        "last", F.when(held, F.lit(None)).otherwise(F.when(is_item, F.col("ilvl") + 1).otherwise(0)), before=True
-    )
-    out = running(typed, keys, ["pos"], block_of("pos", block_rows), scans)
-    same = F.lit(False)
-    for k in range(max_level + 1):
-        prev = F.col(f"__l{k}")
-        here = (F.col("ilvl") == k) & (prev["level"] == k) & (prev["num"] == F.col("num_id"))
-        same = same | F.coalesce(here, F.lit(False))
-    number = F.when(same | F.col("start").isNull(), "#.\t").otherwise(
+    level = F.when(~held, F.when(is_item, F.col("ilvl")).otherwise(0))
+    # one below the level of an item; plain paragraphs leave no list open
+    state = LevelScan(level, F.when(is_item, F.col("num_id")), F.col("ilvl"))
+    out = running_levels(typed, keys, ["pos"], block_of("pos", block_rows), state, "__above", "__last")
+    same = (F.col("__above.level") == F.col("ilvl")) & (F.col("__above.value") == F.col("num_id"))
+    number = F.when(F.coalesce(same, F.lit(False)) | F.col("start").isNull(), "#.\t").otherwise(
         F.concat(F.col("start").cast("string"), F.lit(".\t"))
     )
     tabs = F.repeat(F.lit("\t"), F.coalesce("ilvl", F.lit(0)))
@@ -145,7 +147,8 @@ def list_marks(paragraph: DataFrame, keys: list[str] = ["path"], max_level: int
         .when(kind == "Continuation", F.concat(tabs, F.lit("\t")))
         .otherwise("")
     )
-    depth = F.when(F.col("ptype") == "Continuation", F.coalesce("__depth", F.lit(0)))
+    open_list = F.when(F.col("__last.value").isNotNull(), F.col("__last.level") + 1).otherwise(0)
+    depth = F.when(F.col("ptype") == "Continuation", open_list.cast("int"))
     return out.select(*paragraph.columns, "ptype", mark.alias("mark"), depth.alias("depth"))
 
 

@@ -106,48 +106,64 @@ def metadata_lines(control: DataFrame) -> DataFrame:
 # --- headers back to parameters --------------------------------------------------------------
 
 
+def _header_entries(md: Column | str) -> Column:
+    """Header lines as an array of (pos, key, value), split at the first colon that is not first."""
+    lines = F.split(P.split_header(md)["header"], "\n", -1)
+
+    def entry(line: Column, i: Column) -> Column:
+        colon = F.instr(line, ":")
+        return F.when(colon > 1, F.struct(
+            i.alias("pos"), P.trim_all(F.substring(line, F.lit(1), colon - 1)).alias("key"), P.trim_all(F.substr(line, colon + 1)).alias("value"),
+        ))
+
+    return F.filter(F.transform(lines, entry), lambda e: e.isNotNull())
+
+
 def header_pairs(doc: DataFrame, md: str = "md") -> DataFrame:
     """Header lines as (path, pos, key, value), split at the first colon that is not first."""
-    header = P.split_header(md)["header"]
-    lines = doc.select("path", F.posexplode(F.split(header, "\n", -1)).alias("pos", "line"))
-    colon = F.instr("line", ":")
-    return lines.where(colon > 1).select(
-        "path", "pos",
-        P.trim_all(F.substring("line", F.lit(1), colon - 1)).alias("key"),
-        P.trim_all(F.substr("line", colon + 1)).alias("value"),
+    return doc.select("path", F.explode(_header_entries(md)).alias("e")).select("path", "e.*")
+
+
+def _bound(lines: DataFrame) -> DataFrame:
+    """Rows of (path, entries) with one row per entry and its name and suffix; nothing leaves its row before that.
+
+    The distinct keys of a header, in order, are the map that leading words are looked up in.
+    """
+    known = lines.withColumn("keys", F.array_distinct(F.transform("entries", lambda e: e["key"])))
+
+    def owner(key: Column, no: Column) -> Column:
+        """Place (from 1) of the earliest key before place no + 1 that the key starts with, up to a space."""
+        words = F.split(key, " ")
+        starts = F.transform(
+            F.when(F.size(words) > 1, F.sequence(F.lit(1), F.size(words) - 1)), lambda n: F.array_join(F.slice(words, F.lit(1), n), " ")
+        )
+        return F.array_min(F.filter(F.transform(starts, lambda s: F.array_position("keys", s)), lambda at: (at > 0) & (at <= no)))
+
+    bound = known.withColumn("owners", F.transform("keys", owner))
+    each = bound.withColumn("e", F.explode("entries")).withColumn("at", F.array_position("keys", F.col("e.key")).cast("int"))
+    name = F.get("keys", F.get("owners", F.col("at") - 1).cast("int") - 1)
+    named = each.select("path", "e.*", name.alias("owner"))
+    rest = F.regexp_replace(F.substr("key", F.length("owner") + 2), r"^\s+", "")
+    return named.select(
+        "path", "pos", "key", "value", F.coalesce("owner", "key").alias("name"), F.when(F.col("owner").isNotNull(), rest).alias("suffix")
     )
 
 
+def bound_lines(doc: DataFrame, md: str = "md") -> DataFrame:
+    """Header lines of each text with parameter ``name`` and ``suffix``, see bind_attributes; no shuffle, a header is one value."""
+    return _bound(doc.select("path", _header_entries(md).alias("entries")))
+
+
 def bind_attributes(pairs: DataFrame) -> DataFrame:
-    """Add the parameter ``name`` of each pair and, for attributes, the ``suffix``.
+    """Add the parameter ``name`` of each pair (path, pos, key, value) and, for attributes, the ``suffix``.
 
     A key is an attribute if, where it first stands, an earlier key followed by a
     space starts it; the earliest such key wins. (That key is always a name:
-    were it an attribute itself, its own name would be an earlier match.) Every
-    key is matched by its leading words, so this is an equi-join.
+    were it an attribute itself, its own name would be an earlier match.) The pairs
+    of a path come together as one value, as their header was.
     """
-    first = pairs.groupBy("path", "key").agg(F.min("pos").alias("first"))
-    words = F.split("key", " ")
-    starts = F.transform(
-        F.sequence(F.lit(1), F.size(words) - 1), lambda n: F.array_join(F.slice(words, 1, n), " ")
-    )
-    tried = first.where(F.contains("key", F.lit(" "))).select(
-        "path", "key", "first", F.explode(starts).alias("start")
-    )
-    names = first.select("path", F.col("key").alias("start"), F.col("first").alias("at"))
-    bound = (
-        spread_lookup(tried, names, ["path", "start"], ["key"], "inner")
-        .where(F.col("at") < F.col("first"))
-        .groupBy("path", "key")
-        .agg(F.min_by("start", "at").alias("__name"))
-    )
-    joined = spread_lookup(pairs, bound, ["path", "key"], ["pos"])
-    rest = F.regexp_replace(F.substr("key", F.length("__name") + 2), r"^\s+", "")
-    return joined.select(
-        "path", "pos", "key", "value",
-        F.coalesce("__name", "key").alias("name"),
-        F.when(F.col("__name").isNotNull(), rest).alias("suffix"),
-    )
+    entry = F.struct("pos", "key", "value")
+    return _bound(pairs.groupBy("path").agg(F.sort_array(F.collect_list(entry)).alias("entries")))
 
 
 def _option_index() -> Column:
@@ -155,7 +171,8 @@ def _option_index() -> Column:
 
 
 def _is_option() -> Column:
-    return F.coalesce(F.col("suffix").rlike(P.OPTION), F.lit(False))
+    """Whether the suffix is an option's; numbers that are no whole number of 32 bits make a property of it."""
+    return F.coalesce(F.col("suffix").rlike(P.OPTION) & _option_index().isNotNull(), F.lit(False))
 
 
 def typed_attributes(bound: DataFrame) -> DataFrame:
@@ -216,7 +233,7 @@ def parameters(doc: DataFrame, md: str = "md") -> DataFrame:
     Lines are first gathered per attribute (both lines of an option together), then
     per parameter. A text's header is one value, so both are bounded by it.
     """
-    bound = bind_attributes(header_pairs(doc, md))
+    bound = bound_lines(doc, md)
     other = F.when(~_is_option(), F.col("suffix"))
     is_value = F.col("suffix").endswith("Value")
     gathered = (

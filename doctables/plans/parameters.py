@@ -160,7 +160,7 @@ _BOUND = _PAIRS + """, bound AS (SELECT n.path, n.pos, n.key, n.value, coalesce(
 
 @query("bind_attributes", _BOUND + "SELECT path, pos, key, value, name, suffix FROM bound")
 def bind_attributes(spark, sf):
-    return P.bind_attributes(P.header_pairs(forms(spark, sf)))
+    return P.bound_lines(forms(spark, sf))
 
 
 _TYPED = _BOUND + """, typed AS (SELECT path, name, coalesce(arg_max(value, pos) FILTER (WHERE suffix = 'Type'), 'String') AS type,
@@ -170,7 +170,7 @@ _TYPED = _BOUND + """, typed AS (SELECT path, name, coalesce(arg_max(value, pos)
 
 @query("typed_attributes", _TYPED + "SELECT path, name, type, max_len FROM typed")
 def typed_attributes(spark, sf):
-    return P.typed_attributes(P.bind_attributes(P.header_pairs(forms(spark, sf))))
+    return P.typed_attributes(P.bound_lines(forms(spark, sf)))
 
 
 _OPTS = """, opts AS (SELECT path, name, i, arg_max(value, pos) FILTER (WHERE f = 'Value') AS v, arg_max(value, pos) FILTER (WHERE f = 'Display') AS d
@@ -181,7 +181,7 @@ _OPTS = """, opts AS (SELECT path, name, i, arg_max(value, pos) FILTER (WHERE f
 
 @query("options_array", _BOUND + _OPTS + """SELECT path, name, max(i) AS n, string_agg(v || '=' || d, ';' ORDER BY i) AS options FROM opts GROUP BY ALL""")
 def options_array(spark, sf):
-    bound = P.bind_attributes(P.header_pairs(forms(spark, sf)))
+    bound = P.bound_lines(forms(spark, sf))
     text = F.transform("options", lambda o: F.concat(o["value"], F.lit("="), o["display"]))
     return P.options_array(P.option_rows(bound)).select(
         "path", "name", F.size("options").alias("n"), F.array_join(text, ";").alias("options")
@@ -193,7 +193,7 @@ _OTHER = "suffix NOT IN ('Type', 'MaxLen') AND NOT regexp_matches(suffix, '^Item
 
 @query("properties_map", _BOUND + f"SELECT path, name, suffix, string_agg(value, '|' ORDER BY pos) AS vals FROM bound WHERE {_OTHER} GROUP BY ALL")
 def properties_map(spark, sf):
-    bound = P.bind_attributes(P.header_pairs(forms(spark, sf)))
+    bound = P.bound_lines(forms(spark, sf))
     return P.properties_map(bound).select("path", "name", F.explode("properties").alias("suffix", "v")).select(
         "path", "name", "suffix", F.array_join("v", "|").alias("vals")
     )

@@ -71,22 +71,32 @@ def marks_by_loop(paras):
     return out
 
 
-@pytest.mark.parametrize("rows", [2, 5, 100])
-def test_list_marks_against_loop(spark, rows):
+@pytest.mark.parametrize("rows,depth", [(2, 3), (5, 12), (100, 3), (7, 40)])
+def test_list_marks_against_loop(spark, rows, depth):
     import random
 
     rng = random.Random(3)
-    paras = [(rng.choice(["OrderedList", "OrderedList", "BulletList", "Continuation", "Normal"]), rng.randint(0, 3), rng.randint(1, 2), rng.randint(1, 9)) for _ in range(120)]
+    kinds = ["OrderedList", "OrderedList", "BulletList", "Continuation", "Normal"][: 5 if depth < 10 else 4]
+    paras = [(rng.choice(kinds), rng.randint(0, depth), rng.randint(1, 2), rng.randint(1, 9)) for _ in range(160)]
     fmt = {"OrderedList": "decimal", "BulletList": "bullet"}
     data = [(1, i, n if k in fmt else None, lv if k in fmt else None, fmt.get(k), st, "LIST" if k == "Continuation" else None) for i, (k, lv, n, st) in enumerate(paras)]
     df = spark.createDataFrame(data, "path int, pos int, num_id int, ilvl int, fmt string, start int, style string")
     got = P.list_marks(df, block_rows=rows).orderBy("pos").collect()
-    for r, (mark, depth), (kind, _, _, _) in zip(got, marks_by_loop(paras), paras):
+    for r, (mark, indent), (kind, _, _, _) in zip(got, marks_by_loop(paras), paras):
         assert r["ptype"] == kind
         if mark:
             assert r["mark"].strip() == mark
-        if depth is not None:
-            assert r["depth"] == depth
+        if indent is not None:
+            assert r["depth"] == indent
+
+
+def test_marks_shuffle_rows_once(spark):
+    """Bookmarks read their input once; a plan exchanges the rows, then one row per block twice."""
+    import re
+
+    df = spark.range(100).selectExpr("id % 3 AS path", "id AS pos", "'text' AS kind", "'x' AS text")
+    plan = P.drop_field_bookmarks(df)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning\(path", plan)) <= 4  # the rows' exchange is written twice and reused
 
 
 def bookmarks_by_loop(kinds):
@@ -219,7 +229,7 @@ EXPECTED = (
 
 def test_word_to_markdown(spark):
     docx = G.docx_bytes(
-        BODY, [("rId7", "hyperlink", "https://example.com/"), ("rId8", "image", "media/i.png")], {"title": "My title"},
+        BODY, [("rId7", "hyperlink", "https://example.com/"), ("rId8", "image", "media/i.png"), ("rId9", "numbering", "numbering.xml"), ("rId10", "footnotes", "footnotes.xml")], {"title": "My title"},
         {"word/numbering.xml": NUMBERING, "word/footnotes.xml": FOOTNOTES, "word/media/i.png": b"\x89PNG"},
     )
     files = [("a.docx", "docx", len(docx), docx), ("bad.docx", "docx", 3, b"PK?")]

@@ -158,6 +158,33 @@ def test_parameters_from_header(spark):
     assert (got["Other"]["type"], got["Other"]["max_len"]) == ("String", None)
 
 
+def test_field_instructions(spark):
+    from doctables.functions.fields import parse_field
+
+    cases = {
+        ' CREATEDATE \\@ "d MMM yyyy" \\* MERGEFORMAT ': ("CREATEDATE", "", "@", "d MMM yyyy"),
+        'DATE \\* MERGEFORMAT \\@ yyyy-MM-dd HH:mm': ("DATE", "", "@", "yyyy-MM-dd HH:mm"),
+        'docproperty "My \\"own\\" title" \\h': ("DOCPROPERTY", 'My "own" title', "", ""),
+        "SEQ Figure \\*ARABIC \\r 5": ("SEQ", "Figure", "*", "ARABIC"),
+        "PAGE": ("PAGE", "", "", ""), "REF _Ref12 \\h \\# 0.00": ("REF", "_Ref12", "#", "0.00"), "= 1 + 2": None, "": None, None: None,
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "i string")
+    got = {r["i"]: r["f"] and tuple(r["f"]) for r in df.select("i", parse_field("i").alias("f")).collect()}
+    assert got == cases
+
+
+def test_long_option_numbers(spark):
+    got = header(spark, ["N: v", "N Item000000000002 Value: two", "N Item123456789012 Value: far", "N Item1 Value: one"])["N"]
+    assert [tuple(o) for o in got["options"]] == [("one", None), ("two", None)]
+    assert got["properties"] == {"Item123456789012 Value": ["far"]}
+
+
+def test_binding_has_no_join(spark):
+    df = spark.createDataFrame([("d", "A: 1\nA B: 2\n\nx")], "path string, md string")
+    plan = Q.bound_lines(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+
+
 def bind_by_loop(keys):
     names, out = {}, []
     for k in keys:
