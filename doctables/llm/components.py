@@ -67,14 +67,14 @@ def _small(links: DataFrame) -> DataFrame:
     return moved.union(least.select("a", F.col("m").alias("b")))
 
 
-def connected(links: DataFrame, rounds: int = 60) -> DataFrame:
+def connected(links: DataFrame) -> DataFrame:
     """(node, component) of every node of links (a, b); component is the smallest node reachable.
 
     Links of a node with itself and nulls are dropped. Each round is written to the shared folder, so a lost
     executor costs one round at most. Stars shrink long chains by a constant factor a round; it stops when nothing changes.
     """
     now, before = shared.written(_forest(links.filter("a <> b")), "stars"), None
-    for _ in range(rounds):
+    while True:
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before or not state[0]:
             break

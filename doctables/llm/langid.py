@@ -25,10 +25,15 @@ SAMPLE_WORDS = 48
 BATCH_BYTES = 2 << 20
 BLOCK = 128
 CACHE = 400_000
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = re.compile(r"[A-Za-z]")
 _CACHES: dict[str, "Emissions"] = {}
 
 
+def has_letter(text: str) -> bool:
+    """Whether a text has a letter of any script; signs for numbers are none."""
+    return bool(_LETTER.search(text)) or any(map(str.isalpha, text))
+
+
 def features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(bucket of each feature, number of features of each word): n-grams of 1 to 4 bytes of ^word$, and the word."""
     marked = [b"\x02" + w + b"\x03" for w in words]
@@ -153,7 +158,7 @@ def sample(docs: DataFrame, per_lang: int, width: int) -> DataFrame:
     chosen = share.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).filter(F.col("r") <= per_lang)
     cut = docs.join(chosen.select("doc_id", "h"), "doc_id").select("doc_id", "lang", "h", shared.words(F.lower("text")).alias("w"))
     place = F.pmod(F.shiftright("h", 20), F.greatest(F.lit(1), F.size("w") - width + 1)).cast("int") + 1
-    return cut.filter(F.size("w") > 0).select("doc_id", "lang", F.slice("w", place, width).alias("words")).orderBy("doc_id").limit(64 * per_lang)
+    return cut.filter(F.size("w") > 0).select("doc_id", "lang", F.slice("w", place, width).alias("words")).orderBy("doc_id")
 
 
 class Model:
@@ -206,7 +211,7 @@ class Emissions:
             while b > len(self.rows):
                 self.rows, self.letters = np.concatenate([self.rows, np.zeros_like(self.rows)]), np.concatenate([self.letters, np.zeros_like(self.letters)])
             self.rows[a:b] = _sums(self.weights, *features(new))
-            self.letters[a:b] = [w.isalpha() or bool(_LETTER.search(w.decode("utf-8", "surrogatepass"))) for w in new]
+            self.letters[a:b] = [w.isalpha() or has_letter(w.decode("utf-8", "surrogatepass")) for w in new]
             self.index.update(zip(new, range(a, b)))
         return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
 
@@ -229,7 +234,7 @@ def identified(docs: DataFrame, model: Model) -> DataFrame:
             cache = _CACHES[own] = Emissions(held.value)
         for batch in shared.batches_of(it, "text", BATCH_BYTES):
             texts = batch.column("text").to_pylist()
-            real = [i for i, t in enumerate(texts) if labels and t and _LETTER.search(t)]
+            real = [i for i, t in enumerate(texts) if labels and t and has_letter(t)]
             lang, score = ["und"] * len(texts), np.zeros(len(texts))
             if real:
                 cut = [texts[i].lower().encode("utf-8", "surrogatepass").split() for i in real]

@@ -45,83 +45,91 @@ class Encoder:
         self.clear()
 
     def clear(self) -> None:
-        self.after_space: dict[str, int] = {}  # piece -> entry, for " " + piece
-        self.first: dict[str, int] = {}  # piece -> entry, at the start of a text
+        self.entries: dict[bytes, int] = {}  # piece, with the space ahead of it if there is one -> entry
         self.flat = np.zeros(1 << 16, np.uint32)
         self.begin = np.zeros(1 << 14, np.int64)
         self.size = np.zeros(1 << 14, np.int32)
+        self.odd = np.zeros(1 << 14, bool)
         self.n_entries = self.n_flat = 0
 
-    def _add(self, ids) -> int:
+    def _add(self, piece: bytes, ids, odd: bool = False) -> None:
         n = len(ids)
         while self.n_flat + n > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         if self.n_entries == len(self.begin):
-            self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
-            self.size = np.concatenate([self.size, np.zeros_like(self.size)])
+            self.begin, self.size, self.odd = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.size, self.odd))
         self.flat[self.n_flat : self.n_flat + n] = ids
-        self.begin[self.n_entries], self.size[self.n_entries] = self.n_flat, n
+        self.begin[self.n_entries], self.size[self.n_entries], self.odd[self.n_entries] = self.n_flat, n, odd
+        self.entries[piece] = self.n_entries
         self.n_flat += n
         self.n_entries += 1
-        return self.n_entries - 1
 
-    def _ids(self, entry: int) -> list[int]:
-        b = self.begin[entry]
-        return self.flat[b : b + self.size[entry]].tolist()
+    def _ids(self, piece: bytes) -> list[int]:
+        b = self.begin[self.entries[piece]]
+        return self.flat[b : b + self.size[self.entries[piece]]].tolist()
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, cache: dict[str, int], new: set[str], lead: str) -> None:
-        """Enter new pieces; a word with a mark behind it is the word and the mark."""
-        plain, marked = [], []
+    def _learn(self, new: list[bytes]) -> None:
+        """Enter new pieces; a word with a mark behind it is the word and the mark. Blanks beside a space make a piece odd."""
+        plain: dict[bytes, str] = {}
+        marked = []
         for piece in new:
-            m = _MARKED.fullmatch(piece)
+            text = piece.decode("utf-8", "surrogatepass")
+            lead = " " if text[:1] == " " else ""
+            m = _MARKED.fullmatch(text, len(lead))
             if m:
-                marked.append((piece, m[1], m[2]))
+                word, mark = (lead + m[1]).encode("utf-8", "surrogatepass"), m[2].encode()
+                marked.append((piece, word, mark))
+                for x, t in ((word, lead + m[1]), (mark, m[2])):
+                    if x not in self.entries:
+                        plain[x] = t
             else:
-                plain.append(piece)
-        known = set(plain)
-        plain += [w for w in dict.fromkeys(w for _, w, _ in marked) if w not in cache and w not in known]
-        marks = [c for c in dict.fromkeys(c for *_, c in marked) if c not in self.first]
-        for piece, ids in zip(plain, self._encode([lead + p for p in plain])):
-            cache[piece] = self._add(ids)
-        for c, ids in zip(marks, self._encode(marks)):
-            self.first[c] = self._add(ids)
+                plain[piece] = text
+        for (piece, text), ids in zip(plain.items(), self._encode(list(plain.values()))):
+            bare = text[1:] if text[:1] == " " else text
+            self._add(piece, ids, bare[:1].isspace() or bare[-1:].isspace())
         for piece, word, mark in marked:
-            cache[piece] = self._add(self._ids(cache[word]) + self._ids(self.first[mark]))
+            self._add(piece, self._ids(word) + self._ids(mark))
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts on end as uint32, number of ids of each text); null is empty."""
-        if len(self.after_space) + len(self.first) > CACHE_PIECES:
+        """(ids of all texts on end as uint32, number of ids of each text); null is empty.
+
+        Texts are cut at single spaces, each piece with the space ahead of it, and every distinct piece is looked up once.
+        Where a space has another blank of any kind beside it, or a special token occurs, the whole text goes to the library.
+        """
+        import pyarrow as pa
+
+        if len(self.entries) > CACHE_PIECES:
             self.clear()
-        heads, pieces, counts, whole = [], [], [], []
-        for i, text in enumerate(texts):
-            if not text:
-                counts.append(0)
-            elif "  " in text or any(s in text for s in self.special):
-                whole.append(i)
-                counts.append(0)
-            else:
-                cut = text.split(" ")
-                heads.append(cut[0])
-                cut[0] = ""  # a place holder; its entry is put in below
-                pieces += cut
-                counts.append(len(cut))
-        count = np.array(counts, np.int64)
-        ends = np.cumsum(count)
-        self._learn(self.after_space, set(pieces).difference(self.after_space), " ")
-        self._learn(self.first, set(heads).difference(self.first), "")
-        entry = np.fromiter(map(self.after_space.__getitem__, pieces), np.int64, len(pieces))
-        entry[(ends - count)[count > 0]] = [self.first[h] for h in heads]
+        whole = [bool(t) and ("  " in t or any(s in t for s in self.special)) for t in texts]
+        data = [b"" if w or not t else t.encode("utf-8", "surrogatepass") for t, w in zip(texts, whole)]
+        ends = np.cumsum(np.array([len(d) for d in data], np.int64))
+        data = b"".join(data)
+        new = np.frombuffer(data, np.uint8) == 32
+        new[(ends - np.diff(ends, prepend=0))[np.diff(ends, prepend=0) > 0]] = True
+        start = np.flatnonzero(new)
+        cuts = pa.py_buffer(np.append(start, len(data)).astype(np.int32))
+        pieces = pa.Array.from_buffers(pa.binary(), len(start), [None, cuts, pa.py_buffer(data)]).dictionary_encode()
+        known = pieces.dictionary.to_pylist()
+        self._learn([p for p in known if p not in self.entries])
+        entry = np.array([self.entries[p] for p in known], np.int64)[pieces.indices.to_numpy()] if known else np.zeros(0, np.int64)
+        upto_piece = np.searchsorted(start, ends)
+        count = np.diff(upto_piece, prepend=0)
+        odd = np.append(0, np.cumsum(self.odd[entry]))
+        # a blank at the very end or beginning of a text has no space beside it, but the library takes such texts just as well
+        for i in np.flatnonzero(odd[upto_piece] > odd[upto_piece - count]).tolist():
+            whole[i] = True
         size = self.size[entry].astype(np.int64)
         upto = np.concatenate([[0], np.cumsum(size)])
         ids = self.flat[np.repeat(self.begin[entry] - upto[:-1], size) + np.arange(upto[-1])]
-        n_ids = upto[ends] - upto[ends - count]
-        if whole:
+        n_ids = upto[upto_piece] - upto[upto_piece - count]
+        own = [i for i, w in enumerate(whole) if w]
+        if own:
             parts = np.split(ids, np.cumsum(n_ids)[:-1])
-            for i, own in zip(whole, self._encode([texts[i] for i in whole])):
-                parts[i] = np.array(own, np.uint32)
-                n_ids[i] = len(own)
+            for i, found in zip(own, self._encode([texts[i] for i in own])):
+                parts[i] = np.array(found, np.uint32)
+                n_ids[i] = len(found)
             ids = np.concatenate(parts)
         return ids, n_ids

@@ -16,37 +16,67 @@ from pyspark.sql import functions as F
 
 from doctables.llm import shared
 
-TYPES = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "object": dict, "array": list}
+TYPES = {"string": str, "integer": (int, float), "number": (int, float), "boolean": bool, "object": dict, "array": list, "null": type(None)}
 KEY = ["conv_id", "call_id"]
 
 
+def _pairs(pairs: list[tuple[str, object]]) -> dict:
+    if len({k for k, _ in pairs}) < len(pairs):
+        raise ValueError("a name occurs twice")
+    return dict(pairs)
+
+
+def _no_number(text: str) -> None:
+    raise ValueError(f"{text} is no JSON")
+
+
+def _is(value: object, kind: str) -> bool:
+    if kind in ("integer", "number") and isinstance(value, bool):
+        return False
+    if kind == "integer" and isinstance(value, float):
+        return value.is_integer()
+    return isinstance(value, TYPES[kind])
+
+
+def _mismatch(value: object, rule: dict, at: str) -> list[str]:
+    """What is wrong with a value under a schema; goes as deep as the schema does. Rules of other types do not apply to a value."""
+    kinds = rule.get("type", [])
+    kinds = [kinds] if isinstance(kinds, str) else kinds
+    if kinds and not any(_is(value, k) for k in kinds):
+        return [f"{at}: not {' or '.join(kinds)}" if at else f"not {'an ' if kinds[0][0] in 'aeiou' else 'a '}{' or '.join(kinds)}"]
+    found = []
+    if "enum" in rule and value not in rule["enum"]:
+        found.append(f"{at}: not allowed")
+    if isinstance(value, str) and len(value) < rule.get("minLength", 0):
+        found.append(f"{at}: too short")
+    if "maximum" in rule and _is(value, "number") and value > rule["maximum"]:
+        found.append(f"{at}: above {rule['maximum']}")
+    if isinstance(value, dict):
+        known = rule.get("properties", {})
+        inner = f"{at}." if at else ""
+        found += [f"{inner}{k}: missing" for k in rule.get("required", []) if k not in value]
+        for k, v in sorted(value.items()):
+            if k in known:
+                found += _mismatch(v, known[k], inner + k)
+            elif not rule.get("additionalProperties", True):
+                found.append(f"{inner}{k}: not allowed")
+    if isinstance(value, list) and "items" in rule:
+        for i, v in enumerate(value):
+            found += _mismatch(v, rule["items"], f"{at}[{i}]")
+    return found
+
+
 def faults(arguments: str | None, schema: dict | None) -> tuple[object, list[str]]:
-    """(parsed arguments, what is wrong with them under a schema of properties, required and additionalProperties)."""
+    """(parsed arguments, what is wrong with them under a schema of type, properties, required, additionalProperties, items,
+    enum, minLength and maximum). Names that occur twice, NaN and infinities are no JSON, nor is what nests too deeply to write again."""
     try:
-        value = json.loads(arguments or "{}")
-    except ValueError:
+        value = json.loads(arguments or "{}", object_pairs_hook=_pairs, parse_constant=_no_number)
+        canonical(value)
+    except (ValueError, RecursionError):
         return None, ["not JSON"]
     if schema is None:
         return value, ["unknown tool"]
-    if not isinstance(value, dict):
-        return value, ["not an object"]
-    known = schema.get("properties", {})
-    found = [f"{k}: missing" for k in schema.get("required", []) if k not in value]
-    for k, v in sorted(value.items()):
-        rule = known.get(k)
-        if rule is None:
-            found += [] if schema.get("additionalProperties", True) else [f"{k}: not allowed"]
-            continue
-        kind = rule.get("type")
-        if kind and (not isinstance(v, TYPES[kind]) or isinstance(v, bool) and kind in ("integer", "number")):
-            found.append(f"{k}: not {kind}")
-        elif "minLength" in rule and len(v) < rule["minLength"]:
-            found.append(f"{k}: too short")
-        elif "maximum" in rule and v > rule["maximum"]:
-            found.append(f"{k}: above {rule['maximum']}")
-        elif "enum" in rule and v not in rule["enum"]:
-            found.append(f"{k}: not allowed")
-    return value, found
+    return value, _mismatch(value, {"type": "object", **schema}, "")
 
 
 def canonical(value: object) -> str:

@@ -85,7 +85,7 @@ def with_responses(pages: DataFrame) -> DataFrame:
     large = page.filter(F.octet_length("payload") >= LEAST_BYTES)
     holders = large.groupBy("payload_digest").agg(F.max("page_id").alias("holder"), F.count("*").alias("n")).filter("n > 1").select("payload_digest", "holder")
     found = page.join(holders, "payload_digest", "left")
-    return found.withColumn("refers_to", F.when(F.col("holder") != F.col("page_id"), F.col("holder"))).drop("holder")
+    return found.withColumn("refers_to", F.when(~F.col("holder").eqNullSafe(F.col("page_id")), F.col("holder"))).drop("holder")
 
 
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:

@@ -8,7 +8,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from doctables.llm import mixing, toolcalls, topk, warc
+from doctables.llm import components, langid, mixing, toolcalls, topk, warc
 
 SF = "/root/testdata/sf0.001"
 
@@ -29,7 +29,7 @@ def test_archives(spark):
     for i, _, html in rows:
         payload = (html or "").encode()
         assert got[i].payload_bytes == len(payload) and got[i].payload_digest == hashlib.sha1(payload).hexdigest()
-    assert {i: (r.record_type, r.refers_to) for i, r in got.items() if r.record_type == "revisit"} == {1: ("revisit", 7), 2: ("revisit", 7)}
+    assert {i: (r.record_type, r.refers_to) for i, r in got.items() if r.record_type == "revisit"} == {1: ("revisit", 7), 2: ("revisit", 7), None: ("revisit", 8)}
     order = [r.page_id for r in sorted(got.values(), key=lambda r: (r.range_no, r.place))]
     keys = {i: (warc.url_key(u), i or 0) for i, u, _ in rows}
     assert order == sorted(order, key=lambda i: (keys[i][0], warc.EPOCH + keys[i][1]))
@@ -134,3 +134,28 @@ def test_pipeline(spark, monkeypatch):
     assert sorted(r.doc_id for r in three.collect()) == sorted(set(brute_components([(r.doc_id, r.text) for r in two.collect()])[0].values()))
     assert {r.doc_id for r in four.collect()} == {r.doc_id for r in mixing.mixed(three).collect() if r.kept}
     assert {r.doc_id for r in out} == {r.doc_id for r in four.collect()} and len(out) == five.count()
+
+
+def test_odd_arguments():
+    schema = {"properties": {"n": {"type": "integer", "maximum": 5}, "s": {"minLength": 2}, "z": {"type": "null"}, "m": {"type": ["string", "null"]},
+              "o": {"type": "object", "properties": {"k": {"type": "string"}}, "required": ["k"]}, "a": {"type": "array", "items": {"type": "number"}}}}
+    wrong = lambda text: toolcalls.faults(text, schema)[1]
+    assert wrong('{"n": 1.0, "s": 7, "z": null, "m": null, "o": {"k": "x"}, "a": [1, 2.5]}') == []
+    assert wrong('{"n": "9", "s": "x", "z": 0, "m": 1}') == ["m: not string or null", "n: not integer", "s: too short", "z: not null"]
+    assert wrong('{"n": 9, "o": {}, "a": [1, true, "x"]}') == ["a[1]: not number", "a[2]: not number", "n: above 5", "o.k: missing"]
+    assert wrong("[1]") == ["not an object"] and wrong(None) == []
+    for text in ('{"a": NaN}', '{"a": 1, "a": 2}', '{"s": ' + "[" * 100_000 + "]" * 100_000 + "}", "{"):
+        assert wrong(text) == ["not JSON"]
+
+
+def test_rare_targets_and_clashing_names(spark):
+    rows = [(i, "w " * 10, "r1" if i == 0 else "r2" if i == 1 else "big", "en", "x", "y") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, w_ string, __source_0 string")
+    out = mixing.mixed(docs, {"source": {"big": 0.5, "r1": 0.4, "r2": 0.1}}).groupBy("source").agg({"weight": "sum"}).collect()
+    got = {r["source"]: r["sum(weight)"] for r in out}
+    assert abs(got["r1"] / got["r2"] - 4) < 1e-6 and abs(got["big"] / got["r1"] - 1.25) < 1e-6
+    assert {"w_", "__source_0"} <= set(mixing.mixed(docs).columns)
+
+
+def test_letters():
+    assert not langid.has_letter("½ ² 12 _ —") and langid.has_letter("é") and langid.has_letter("12b") and langid.has_letter("中")

@@ -25,6 +25,12 @@ def test_encoder_is_the_library(texts):
     assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [tok.encode(t, add_special_tokens=False).ids for t in texts] if texts else not len(ids)
 
 
+def test_blanks_beside_spaces():
+    tok = library()
+    for t in ("b \xa0 \xa0 ", "a \xa0 \xa0\nb", "\u2003 a", "a\u3000b c", " ", " \n", "a b ", " a"):
+        assert tokens.encoder(tokens.default_path()).encode([t])[0].tolist() == tok.encode(t, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("bits", [1, 3, 7, 8, 11, 16, 17, 31, 32])
 def test_bits_round_trip(bits):
     ids = np.random.default_rng(bits).integers(0, 2**bits, 9999).astype(np.uint32)
