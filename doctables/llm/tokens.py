@@ -15,7 +15,7 @@ import re
 import numpy as np
 
 #: Pieces a worker remembers at most.
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 300_000
 #: A word of letters with marks behind it; the pattern cuts between the two.
 _MARKED = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?])")
 _ENCODERS: dict[str, "Encoder"] = {}
