@@ -37,7 +37,7 @@ def workbook_grid(part: DataFrame) -> DataFrame:
     sheet = S.read_sheets(part)
     cell = E.decode_cells(E.resolve_strings(S.read_cells(part, sheet), S.read_shared_strings(part)))
     bounds = E.sheet_bounds(sheet, cell).where("has_data")
-    return E.grid_literal(E.grid_rows(cell, bounds, "literal"))
+    return E.literal_rows(E.run_literal(E.grid_runs(cell, bounds, "literal")))
 
 
 # --- elements -------------------------------------------------------------------------

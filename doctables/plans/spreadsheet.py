@@ -166,6 +166,16 @@ def grid_rows(spark, sf):
     )
 
 
+@query("grid_runs", views("cells_hot") + """, filled AS (SELECT path, "row", '[' || string_agg(repeat(',', col - p) || raw, '' ORDER BY col) || repeat(',', 11 - max(col)) || ']' AS text
+  FROM (SELECT *, coalesce(lag(col) OVER (PARTITION BY path, "row" ORDER BY col), 1) AS p FROM cells_hot) GROUP BY path, "row"),
+gaps AS (SELECT path, coalesce(lag("row") OVER (PARTITION BY path ORDER BY "row"), 0) + 1 AS f, "row" - 1 AS t FROM filled)
+SELECT path, 0 AS sheet_no, "row", "row" AS to_row, text FROM filled UNION ALL SELECT path, 0, f, t, '[,,,,,,,,,,]' FROM gaps WHERE f <= t""")
+def grid_runs(spark, sf):
+    cells = V.cells_hot(spark, sf)
+    bounds = E.used_range(cells).withColumn("left", F.lit(1)).withColumn("top", F.lit(1)).withColumn("right", F.lit(11))
+    return E.run_literal(E.grid_runs(cells, bounds))
+
+
 _GRID = views("cells", "sheets") + _DECODED + _BOUNDS + f""",
 lit AS (SELECT d.path, d.sheet_no, d."row", col, {_LITERAL} AS x FROM decoded d),
 every AS (SELECT path, sheet_no, "left", top, "right", unnest(range(top, bottom + 1)) AS r FROM bounds WHERE has_data),

@@ -140,3 +140,28 @@ def test_units_and_header(spark):
         ("A2", "n", "1", 0), ("B2", "n", "2.5", 0), ("C2", "str", "m", 0), ("D2", "str", "x", 0),
         ("A3", "n", "2", 0), ("D3", "inlineStr", "two\r\nlines", 2), ("A4", "n", "3", 0), ("B4", "n", "3", 0),
     ]
+
+
+CELL_ROWS = "path string, sheet_no int, row int, col int, raw string"
+BOX = "path string, sheet_no int, left int, top int, right int, bottom int"
+
+
+def test_runs_give_the_dense_text(spark):
+    import random
+
+    rng = random.Random(2)
+    cells = [("p", n, rng.randint(0, 30), rng.randint(0, 9), f"v{i}") for n in range(4) for i in range((0, 1, 12, 60)[n])] + [("p", 1, 7, 3, "z"), ("q", 0, 3, 3, None)]
+    boxes = [("p", n, 2, 3, 8, 27) for n in range(4)] + [("q", 0, 3, 3, 3, 9000), ("r", 0, 5, 5, 4, 9), ("s", 0, 1, 1, 2, 2)]
+    cell, box = spark.createDataFrame(cells, CELL_ROWS), spark.createDataFrame(boxes, BOX)
+    dense = {tuple(r) for r in E.grid_literal(E.grid_rows(cell, box)).collect()}
+    assert {tuple(r) for r in E.literal_rows(E.run_literal(E.grid_runs(cell, box))).collect()} == dense
+
+
+def test_a_huge_range_is_a_few_runs(spark):
+    cell = spark.createDataFrame([("p", 0, 5, 2, "1"), ("p", 0, 6, 16384, "2"), ("p", 0, 900_000, 1, "3")], CELL_ROWS)
+    box = spark.createDataFrame([("p", 0, 1, 1, 16384, 1048576)], BOX)
+    runs = sorted((r["row"], r["to_row"], r["text"]) for r in E.run_literal(E.grid_runs(cell, box)).collect())
+    blank = "[" + "," * 16383 + "]"
+    assert runs == [
+        (1, 4, blank), (5, 5, "[,1" + "," * 16382 + "]"), (6, 6, "[" + "," * 16383 + "2]"), (7, 899_999, blank), (900_000, 900_000, "[3" + "," * 16383 + "]"), (900_001, 1048576, blank),
+    ]
