@@ -36,6 +36,34 @@ def test_archives(spark):
     assert warc.archived(pages.limit(0)).count() == 0
 
 
+def test_merge_of_many_runs(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(warc, "GROUP_ROWS", 7)
+    rng = random.Random(6)
+    rows = [(rng.choice(["", "a)/", "b)/" + "x" * 300, "b)/" + "x" * 299 + "y", f"c{rng.randint(0, 40)})/", "é)/"]), rng.randint(0, 5), rng.choice([None, *range(9)]), f"f{rng.randint(0, 3)}", i, 1) for i in range(1500)]
+    entries = spark.createDataFrame(rows, warc.ENTRY).repartition(9).sortWithinPartitions("url_key", "captured", "page_id", "file", "offset")
+    folder = f"file://{tmp_path}/index"
+    runs = warc.sorted_runs(entries, folder)
+    assert runs.count() == 9 and all(len(r.samples) <= 2 * warc.SAMPLES for r in runs.collect())
+    key = lambda r: (r[0], r[1], (0, 0) if r[2] is None else (1, r[2]), *r[3:])
+    for ways, range_rows in ((2, 100), (3, 10**6), (32, 50)):
+        index = warc.with_places(warc.merge_runs(runs, folder, ways, range_rows)).collect()
+        assert [r.place for r in sorted(index, key=lambda r: r.place)] == list(range(len(rows)))
+        got = [tuple(r[c] for c in warc.ENTRIES.names) for r in sorted(index, key=lambda r: r.place)]
+        assert got == sorted(rows, key=key)
+        ranges = [r.range_no for r in sorted(index, key=lambda r: r.place)]
+        assert ranges == sorted(ranges) and (len(set(ranges)) > 5) == (range_rows < 10**6)
+
+
+def test_archives_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{SF}/pages.parquet'")
+    want = con.execute(warc.ORACLE["op3_warc"])
+    names = [d[0] for d in want.description]
+    got = warc.op3_warc(spark, SF)
+    assert sorted(got.columns) == sorted(names)
+    assert sorted(map(str, map(tuple, got.select(*names).collect()))) == sorted(map(str, want.fetchall()))
+
+
 def test_top_k(spark, monkeypatch):
     monkeypatch.setattr(topk, "SHARD_ROWS", 16)
     monkeypatch.setattr(topk, "TILE_ROWS", 2)
