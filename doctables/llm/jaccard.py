@@ -3,12 +3,16 @@
 1. Equal sets form one class, stood for by its smallest doc_id.
 2. Shingles met often inside tasks come last in the global order of shingles, so boilerplate stays out of prefixes.
    Every order gives the same links; the order only decides how many candidates there are.
-3. Two sets that link share a shingle of their prefixes. Classes with identical prefix and size form one group.
-   Each shingle's groups, by size, are paired with a hub: the first group in reach of its size. Pairs pass a parity
-   bitmap (a lower bound of the symmetric difference), are expanded to members and verified on the texts.
-4. Links are closed to components, and the parts of a shingle's list outside its largest component are paired with other hubs from it; each round closes
-   only the links between components. Groups that share a shingle but lie in different components are then paired in full,
-   filtered, expanded and verified, so no link between components is lost; pairs inside a component would add nothing.
+3. Two sets that link share a shingle of their prefixes. Classes with identical prefix and size form one group. Postings carry a
+   group's size and the shingle's place in its order: if the first shared shingle stands at places i and j, at most
+   min(n_a - i, n_b - j) elements are shared, which rules out most groups that meet late.
+4. Each shingle's groups, by size, are paired with a hub: the first group in reach of its size; members with the first of their
+   group. Pairs pass a parity bitmap (a lower bound of the symmetric difference), are verified on the texts and closed
+   to components. One more round takes hubs out of each shingle's largest component. Both only save work in step 5.
+5. Where a shingle (or a group) still holds several components, its groups are compared in tiles of bounded size, so that a
+   shingle of any length is spread over tasks: group pairs are filtered by size and place, the rest expanded to members of
+   different components, and only those that pass the bitmap leave the task. They are verified, so no link between
+   components is lost; pairs inside a component, and in its largest one, could add nothing.
 """
 
 from __future__ import annotations
@@ -25,8 +29,14 @@ from doctables.llm.components import connected, merged
 
 SHINGLE = 5
 BATCH_BYTES = 2 << 20
-#: Further rounds of hubs before the exhaustive step; they only save pairs there.
-HUB_ROUNDS = 2
+#: Further rounds of hubs before the exhaustive step; they only save comparisons there.
+HUB_ROUNDS = 1
+#: Members that travel together as a part of their group, parts of a shingle held at a time, pairs looked at in one go.
+PART_MEMBERS = 64
+STRETCH = 4096
+PAIRS = 1 << 17
+#: Bits of the bitmaps that travel with members; sketches keep four times the bits, pairs are held against those before texts move.
+TILE_BITS = 2048
 #: Shingles that stand for more than this share of all go last in the order; so there are at most 1 / share of them.
 OFTEN_SHARE = 2.0**-20
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
@@ -65,19 +75,27 @@ def shingle_sets(texts: list[str | None], k: int = SHINGLE) -> list[np.ndarray]:
 
 
 def bitmap(hashes: np.ndarray) -> np.ndarray:
-    """Parity of the hashes in each of 2^j >= size buckets: bitmaps of two sets differ in at most as many bits as the sets."""
-    bits = max(64, 1 << max(0, len(hashes) - 1).bit_length())
-    return np.packbits(np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1)
+    """Parity of the hashes in each of 4 * 2^j >= 4 * size buckets, as 64-bit words: bitmaps of two sets differ in at most as many bits as the sets."""
+    bits = max(64, 4 << max(0, len(hashes) - 1).bit_length())
+    odd = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.uint64)
 
 
-def differ(a: bytes, b: bytes) -> int:
-    """Bits in which two bitmaps differ, the larger one folded to the size of the smaller."""
-    x, y = np.unpackbits(np.frombuffer(a, np.uint8)), np.unpackbits(np.frombuffer(b, np.uint8))
-    if len(x) < len(y):
-        x, y = y, x
-    if len(x) > len(y):
-        x = np.bitwise_xor.reduce(x.reshape(-1, len(y)))
-    return int((x ^ y).sum())
+def folded(words: np.ndarray, size: int) -> np.ndarray:
+    """Bitmaps (rows of words) as bitmaps of fewer words."""
+    return np.bitwise_xor.reduce(words.reshape(*words.shape[:-1], -1, size), axis=-2)
+
+
+def differ(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits in which bitmaps differ, row by row, the wider ones folded to the width of the others."""
+    size = min(a.shape[-1], b.shape[-1])
+    return np.bitwise_count(folded(a, size) ^ folded(b, size)).sum(axis=-1, dtype=np.int64)
+
+
+def in_reach(n, i, m, j, num: int, den: int):
+    """Whether sets of n and m elements whose first shared element stands at places i and j may link."""
+    shared_ = np.minimum(n - i, m - j)
+    return (den * np.minimum(n, m) >= num * np.maximum(n, m)) & ((num + den) * shared_ >= num * (n + m))
 
 
 def often(docs: DataFrame, share: float = OFTEN_SHARE) -> np.ndarray:
@@ -143,8 +161,16 @@ def sketches(docs: DataFrame, frequent: np.ndarray, num: int, den: int) -> DataF
     return docs.select("doc_id", "text").mapInArrow(sketch, "doc_id long, n long, key binary, prefix_key binary, prefix binary, bits binary")
 
 
+PLACE_BITS = 31
+
+
+def _unpacked(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Size and place out of one number; in order of that number sizes ascend."""
+    return z >> PLACE_BITS, z & ((1 << PLACE_BITS) - 1)
+
+
 def postings(groups: DataFrame) -> DataFrame:
-    """(shingle, gid, n) for each shingle of each group's prefix."""
+    """(shingle, gid, z) for each shingle of each group's prefix; z is the group's size and the shingle's place."""
 
     def explode(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
@@ -152,59 +178,60 @@ def postings(groups: DataFrame) -> DataFrame:
             size = [len(p) for p in prefix]
             if prefix:
                 gid, n = (np.repeat(batch.column(c).to_numpy(), size) for c in ("gid", "n"))
-                every = np.concatenate(prefix)
+                every, z = np.concatenate(prefix), (n << PLACE_BITS) | np.concatenate([np.arange(k) for k in size])
                 for a in range(0, len(every), 1 << 17):
-                    yield pa.RecordBatch.from_pydict({"shingle": every[a : a + (1 << 17)], "gid": gid[a : a + (1 << 17)], "n": n[a : a + (1 << 17)]})
+                    yield pa.RecordBatch.from_pydict({"shingle": every[a : a + (1 << 17)], "gid": gid[a : a + (1 << 17)], "z": z[a : a + (1 << 17)]})
 
-    return groups.select("gid", "n", "prefix").mapInArrow(explode, "shingle long, gid long, n long")
+    return groups.select("gid", "n", "prefix").mapInArrow(explode, "shingle long, gid long, z long")
 
 
 def with_hubs(posted: DataFrame, num: int, den: int, ways: int) -> DataFrame:
     """Postings of shingles that more than one group has, each with its hub: the smallest group in reach of its size.
 
-    One shuffle by shingle; tasks stream over sorted rows and hold one batch, so a shingle of any length passes.
+    A group that cannot link with its hub by their places gets itself. One shuffle by shingle; tasks stream over sorted
+    rows and hold one batch, so a shingle of any length passes.
     """
 
     def hubs(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carry = None  # the last row of earlier batches: shingle, gid, n, hub, hub's n, whether it was given out
+        carry = None  # the last row of earlier batches: shingle, gid, z, hub, hub's z, whether it was given out
 
-        def rows(s, g, n, h):
-            return pa.RecordBatch.from_pydict({"shingle": s, "gid": g, "n": n, "hub": h})
+        def rows(s, g, z, h, h_z):
+            near = in_reach(*_unpacked(z), *_unpacked(h_z), num, den)
+            return pa.RecordBatch.from_pydict({"shingle": s, "gid": g, "z": z, "hub": np.where(near, h, g)})
 
         for batch in it:
             if not batch.num_rows:
                 continue
-            s, g, n = (batch.column(c).to_numpy() for c in ("shingle", "gid", "n"))
+            s, g, z = (batch.column(c).to_numpy() for c in ("shingle", "gid", "z"))
             starts = np.concatenate([[True], s[1:] != s[:-1]])
-            hub, hub_n = np.empty_like(g), np.empty_like(n)
             inside = carry is not None and carry[0] == s[0]
             first = np.flatnonzero(starts)
             size = np.diff(np.append(first, len(s)))
-            hub[:], hub_n[:] = np.repeat(g[first], size), np.repeat(n[first], size)
+            hub, hub_z = np.repeat(g[first], size), np.repeat(z[first], size)
             if inside:
-                hub[: size[0]], hub_n[: size[0]] = carry[3], carry[4]
+                hub[: size[0]], hub_z[: size[0]] = carry[3], carry[4]
             run = np.repeat(np.arange(len(first)), size)
             while True:  # sizes ascend in a run: where one is out of the hub's reach, a new hub begins
-                far = den * hub_n < num * n
+                far = den * _unpacked(hub_z)[0] < num * _unpacked(z)[0]
                 if not far.any():
                     break
                 at = np.flatnonzero(far)
                 new = at[np.concatenate([[True], run[at[1:]] != run[at[:-1]]])]
                 end = np.append(first, len(s))[run[new] + 1]
                 take = np.concatenate([np.arange(a, b) for a, b in zip(new, end)])
-                hub[take], hub_n[take] = np.repeat(g[new], end - new), np.repeat(n[new], end - new)
+                hub[take], hub_z[take] = np.repeat(g[new], end - new), np.repeat(z[new], end - new)
             many = np.repeat(size > 1, size)
             if inside:
                 many[: size[0]] = True
                 if not carry[5]:
-                    yield rows(*(np.array([carry[i]]) for i in range(4)))
+                    yield rows(*(np.array([carry[i]]) for i in range(5)))
             given = bool(many[-1])
             if many.any():
-                yield rows(s[many], g[many], n[many], hub[many])
-            carry = (s[-1], g[-1], n[-1], hub[-1], hub_n[-1], given)
+                yield rows(s[many], g[many], z[many], hub[many], hub_z[many])
+            carry = (s[-1], g[-1], z[-1], hub[-1], hub_z[-1], given)
 
-    dealt = posted.repartition(ways, "shingle").sortWithinPartitions("shingle", "n", "gid")
-    return dealt.mapInArrow(hubs, "shingle long, gid long, n long, hub long")
+    dealt = posted.repartition(ways, "shingle").sortWithinPartitions("shingle", "z", "gid")
+    return dealt.mapInArrow(hubs, "shingle long, gid long, z long, hub long")
 
 
 def _plausible(pairs: DataFrame, bits: DataFrame, num: int, den: int) -> DataFrame:
@@ -215,7 +242,8 @@ def _plausible(pairs: DataFrame, bits: DataFrame, num: int, den: int) -> DataFra
             n = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
             # |A and B| >= num / (num + den) of n, so at most (den - num) / (num + den) of n lie in one set alone
             most = (den - num) * n // (num + den)
-            far = [differ(x, y) for x, y in zip(batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist())]
+            sides = zip(batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist())
+            far = [int(differ(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64))) for x, y in sides]
             yield batch.select(["a", "b"]).filter(pa.array(np.array(far, np.int64) <= most))
 
     side = lambda x: bits.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
@@ -223,6 +251,110 @@ def _plausible(pairs: DataFrame, bits: DataFrame, num: int, den: int) -> DataFra
     return pairs.join(side("a"), "a").join(side("b"), "b").filter(near).mapInArrow(may, "a long, b long")
 
 
+class _Members:
+    """Members of the parts in a batch as flat arrays: part p holds rows begin[p] to begin[p] + size[p]."""
+
+    def __init__(self, batch: pa.RecordBatch) -> None:
+        cols = {c: batch.column(c) for c in ("docs", "comps", "sizes", "bits")}
+        self.size = np.diff(cols["docs"].offsets.to_numpy()).astype(np.int64)
+        self.begin = np.cumsum(self.size) - self.size
+        self.doc, self.comp, self.n = (cols[c].flatten().to_numpy() for c in ("docs", "comps", "sizes"))
+        maps = [np.frombuffer(x, np.uint64) for x in cols["bits"].flatten().to_pylist()]
+        self.width = np.array([len(x) for x in maps], np.int64)
+        self.at = np.cumsum(self.width) - self.width
+        self.words = np.concatenate(maps) if maps else np.zeros(0, np.uint64)
+
+    def rows(self, i: np.ndarray, width: int) -> np.ndarray:
+        return self.words[self.at[i][:, None] + np.arange(width)]
+
+
+def _expanded(m: _Members, a: np.ndarray, b: np.ndarray, num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Members (a, b) of the pairs of parts that lie in different components and whose bitmaps allow a link."""
+    count = m.size[a] * m.size[b]
+    ends = np.cumsum(count)
+    for low in range(0, int(ends[-1]) if len(ends) else 0, PAIRS):
+        t = np.arange(low, min(low + PAIRS, int(ends[-1])))
+        p = np.searchsorted(ends, t, "right")
+        t = t - (ends[p] - count[p])
+        i, j = m.begin[a[p]] + t // m.size[b[p]], m.begin[b[p]] + t % m.size[b[p]]
+        near = (m.comp[i] != m.comp[j]) & (den * np.minimum(m.n[i], m.n[j]) >= num * np.maximum(m.n[i], m.n[j]))
+        near &= (a[p] != b[p]) | (i < j)
+        i, j = i[near], j[near]
+        kind = m.width[i] * (TILE_BITS + 1) + m.width[j]
+        keep = np.zeros(len(i), bool)
+        for k in np.unique(kind):
+            some = np.flatnonzero(kind == k)
+            x, y = i[some], j[some]
+            keep[some] = (num + den) * differ(m.rows(x, int(m.width[x[0]])), m.rows(y, int(m.width[y[0]]))) <= (den - num) * (m.n[x] + m.n[y])
+        x, y = m.doc[i[keep]], m.doc[j[keep]]
+        if len(x):
+            found = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], 1), axis=0)
+            yield pa.RecordBatch.from_pydict({"a": found[:, 0], "b": found[:, 1]})
+
+
+def _across(mixed: DataFrame, parts: DataFrame, num: int, den: int, stretch: int) -> DataFrame:
+    """Plausible pairs of documents in different components out of groups that share a shingle.
+
+    mixed has shingle, gid, z, outside (whether some member lies outside the shingle's main component); parts has gid, part,
+    docs, comps, sizes, bits. A shingle is a table of tiles: its outside parts are held, about `stretch` at a time, and all its
+    parts stream past them, eight times as many a tile.
+    """
+    rows = mixed.join(parts.select("gid", "part"), "gid")
+    sizes = rows.groupBy("shingle").agg(F.ceil(F.count_if("outside") / stretch).alias("held"), F.ceil(F.count("*") / (8 * stretch)).alias("wide"))
+    dealt = rows.join(sizes, "shingle").withColumn("own", F.xxhash64("gid", "part"))
+    upto = lambda c: F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
+    held = dealt.filter("outside").select("shingle", F.expr("pmod(own, held)").alias("no"), F.explode(upto("wide")).alias("col"), F.lit(0).alias("side"), "gid", "part", "z", "outside")
+    probes = dealt.select("shingle", F.explode(upto("held")).alias("no"), F.expr("pmod(own, wide)").alias("col"), F.lit(1).alias("side"), "gid", "part", "z", "outside")
+    tiles = held.unionByName(probes).join(parts, ["gid", "part"])
+
+    def compare(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None  # held rows of the tile that the last batch ended in
+        for batch in it:
+            if not batch.num_rows:
+                continue
+            if rest is not None:
+                batch = pa.concat_batches([rest, batch])
+            s, no, col, side, gid, part, z, outside = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("shingle", "no", "col", "side", "gid", "part", "z", "outside"))
+            new = np.append(True, (s[1:] != s[:-1]) | (no[1:] != no[:-1]) | (col[1:] != col[:-1]))
+            first = np.flatnonzero(new)
+            tile = np.cumsum(new) - 1
+            kept = np.bincount(tile[side == 0], minlength=len(first))  # held rows stand first in their tile
+            rest = batch.slice(first[-1], kept[-1])
+            probe = np.flatnonzero(side == 1)
+            n, place = _unpacked(z)
+            members = None
+            count = kept[tile[probe]]
+            ends = np.cumsum(count)
+            for low in range(0, int(ends[-1]) if len(ends) else 0, PAIRS):
+                t = np.arange(low, min(low + PAIRS, int(ends[-1])))
+                p = np.searchsorted(ends, t, "right")
+                y = probe[p]
+                x = first[tile[y]] + t - (ends[p] - count[p])
+                # two outside parts meet twice, as held and as probe: once is enough
+                once = ~outside[y] | (gid[x] < gid[y]) | ((gid[x] == gid[y]) & (part[x] <= part[y]))
+                x, y = x[once], y[once]
+                near = in_reach(n[x], place[x], n[y], place[y], num, den)
+                if near.any():
+                    members = members or _Members(batch)
+                    yield from _expanded(members, x[near], y[near], num, den)
+
+    tiles = tiles.select("shingle", "no", "col", "side", "gid", "part", "z", "outside", "docs", "comps", "sizes", "bits")
+    tiles = tiles.repartition(shared.partitions(mixed.sparkSession), "shingle", "no", "col").sortWithinPartitions("shingle", "no", "col", "side")
+    return tiles.mapInArrow(compare, "a long, b long").distinct()
+
+
+def _narrow(bits: DataFrame) -> DataFrame:
+    """Bitmaps of a quarter of the bits, of TILE_BITS at most."""
+
+    def fold(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            maps = [np.frombuffer(x, np.uint64) for x in batch.column("bits").to_pylist()]
+            maps = [folded(x, max(1, min(len(x) // 4, TILE_BITS // 64))).tobytes() for x in maps]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(maps, pa.binary())], schema=batch.schema)
+
+    return bits.select("prefix_key", "doc_id", "n", "bits").mapInArrow(fold, "prefix_key binary, doc_id long, n long, bits binary")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (a, b) whose shingle sets reach num / den; the texts come by joins on doc_id.
 
@@ -276,45 +408,57 @@ def jaccard_components(docs: DataFrame, threshold: tuple[int, int] = (3, 4), sha
     heads = nodes.groupBy("prefix_key").agg(F.min("doc_id").alias("gid"), F.count("*").alias("members"))
     grouped = nodes.select("doc_id", "prefix_key").join(heads, "prefix_key")
     groups = nodes.join(heads.select("prefix_key", F.col("gid").alias("doc_id")), ["prefix_key", "doc_id"])
-    groups = groups.select(F.col("doc_id").alias("gid"), "n", "prefix").dropDuplicates(["gid", "n"])
+    groups = groups.select(F.col("doc_id").alias("gid"), "prefix_key", "n", "prefix").dropDuplicates(["gid", "prefix_key"])
     posted = shared.written(with_hubs(postings(groups), num, den, shared.partitions(spark)), "postings")
-    inside = shared.written(grouped.filter("members > 1").select("gid", "doc_id"), "members")
+    several = grouped.filter("members > 1").select("gid", "doc_id").distinct()
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return shared.written(verified(shared.written(_plausible(pairs, bits, num, den), "pairs"), docs, num, den), "links")
 
     star = posted.filter("gid <> hub").select(F.col("gid").alias("a"), F.col("hub").alias("b"))
-    star = star.union(inside.filter("gid <> doc_id").select(F.col("doc_id").alias("a"), F.col("gid").alias("b"))).distinct()
-    comp = connected(shared.written(verified(shared.written(_plausible(star, bits, num, den), "pairs"), docs, num, den), "links"))
-
-    def mixed_parts(comp: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Parts of groups by component; postings by part of the shingles that lie in several components."""
-        member = inside.union(posted.select("gid", F.col("gid").alias("doc_id")).distinct()).distinct()
-        found = member.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        found = shared.written(found.select("gid", "doc_id", F.coalesce("component", "doc_id").alias("component")), "parts")
-        by_part = posted.select("shingle", "gid", "n").join(found.select("gid", "component").distinct(), "gid")
-        tally = by_part.groupBy("shingle", "component").agg(F.count("*").alias("k"))
-        most = tally.groupBy("shingle").agg(F.max_by("component", F.struct("k", "component")).alias("main"), F.count("*").alias("comps"))
-        return found, shared.written(by_part.join(most.filter("comps > 1").select("shingle", "main"), "shingle"), "mixed")
-
-    for step in range(HUB_ROUNDS):  # more hubs, each from a shingle's largest component, before all pairs are looked at
-        parts, mixed = mixed_parts(comp)
-        hub = mixed.filter("component = main").groupBy("shingle").agg(F.max_by("gid", F.xxhash64("gid", F.lit(step))).alias("b"))
-        star = mixed.filter("component <> main").join(hub, "shingle").select(F.col("gid").alias("a"), "b").distinct()
-        comp = merged(comp, shared.written(verified(shared.written(_plausible(star, bits, num, den), "pairs"), docs, num, den), "links"))
-    parts, mixed = mixed_parts(comp)
-    side = lambda x: mixed.select("shingle", F.col("gid").alias(f"g_{x}"), F.col("component").alias(f"c_{x}"), F.col("n").alias(f"n_{x}"))
-    left = mixed.filter("component <> main").select("shingle", F.col("gid").alias("g_a"), F.col("component").alias("c_a"), F.col("n").alias("n_a"), "main")
-    cross = left.join(side("b"), "shingle").filter("c_a <> c_b and (c_b = main or c_a < c_b)")
-    cross = cross.filter((den * F.least("n_a", "n_b")) >= (num * F.greatest("n_a", "n_b")))
-    cross = cross.select("g_a", "c_a", "g_b", "c_b").distinct()
-    own = lambda x: parts.select(F.col("gid").alias(f"g_{x}"), F.col("component").alias(f"c_{x}"), F.col("doc_id").alias(x))
-    rest = cross.join(own("a"), ["g_a", "c_a"]).join(own("b"), ["g_b", "c_b"]).select("a", "b").distinct()
-    within = parts.groupBy("gid").agg(F.countDistinct("component").alias("comps")).filter("comps > 1").select("gid")
-    within = parts.join(within, "gid")
-    within = within.alias("x").join(within.alias("y"), F.expr("x.gid = y.gid and x.component < y.component")).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
-    rest = shared.written(_plausible(rest.union(within).distinct(), bits, num, den), "more-pairs")
+    star = star.union(several.filter("gid <> doc_id").select(F.col("doc_id").alias("a"), F.col("gid").alias("b"))).distinct()
+    comp = shared.written(connected(linked(star)), "components")
+
+    def spans(comp: DataFrame) -> DataFrame:
+        """Smallest and largest component among the members of each group."""
+        of = grouped.select("gid", "doc_id").join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        of = of.withColumn("component", F.coalesce("component", "doc_id"))
+        return shared.written(of.groupBy("gid").agg(F.min("component").alias("low"), F.max("component").alias("high")), "spans")
+
+    def mixed_of(posted: DataFrame, span: DataFrame) -> DataFrame:
+        """(shingle, gid, z, outside) of the shingles that several components have; outside tells whether a group has members out of the largest."""
+        placed = shared.written(posted.select("shingle", "gid", "z").join(span, "gid"), "placed")
+        ends = placed.groupBy("shingle").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high").select("shingle")
+        some = shared.written(placed.join(ends, "shingle", "left_semi"), "some")
+        tally = some.filter("low = high").groupBy("shingle", "low").agg(F.count("*").alias("k"))
+        main = tally.groupBy("shingle").agg(F.max_by("low", F.struct("k", "low")).alias("main"))
+        marked = some.join(main, "shingle", "left").withColumn("outside", ~(F.col("low").eqNullSafe(F.col("main")) & (F.col("low") == F.col("high"))))
+        marked = shared.written(marked.select("shingle", "gid", "z", "outside"), "mixed")
+        for table in (placed, some):
+            shared.drop_files(table)
+        return marked
+
+    mixed = mixed_of(posted, spans(comp))
+    for step in range(HUB_ROUNDS):  # another hub, out of each shingle's largest component
+        hub = mixed.filter("not outside").groupBy("shingle").agg(F.max_by("gid", F.xxhash64("shingle", "gid", F.lit(step))).alias("b"))
+        star = mixed.filter("outside").join(hub, "shingle").select(F.col("gid").alias("a"), "b").filter("a <> b").distinct()
+        comp = merged(comp, linked(star))
+        mixed = mixed_of(mixed, spans(comp))
+    # a group of several components meets itself, whether or not it shares a shingle
+    split = spans(comp).filter("low < high").select(F.xxhash64("gid").alias("shingle"), "gid").join(groups.select("gid", "n"), "gid")
+    split = split.select("shingle", "gid", F.shiftleft("n", PLACE_BITS).alias("z"), F.lit(True).alias("outside")).distinct()
+    mixed = shared.written(mixed.unionByName(split), "mixed")
+    of = _narrow(nodes).join(heads.select("prefix_key", "gid"), "prefix_key").join(mixed.select("gid").distinct(), "gid", "left_semi")
+    of = of.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    sizes = of.groupBy("gid").agg(F.ceil(F.count("*") / PART_MEMBERS).alias("parts"))
+    of = of.join(sizes, "gid").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")))
+    of = of.groupBy("gid", "part").agg(F.collect_list(F.struct("doc_id", "component", "n", "bits")).alias("m"))
+    parts = of.select("gid", "part", F.col("m.doc_id").alias("docs"), F.col("m.component").alias("comps"), F.col("m.n").alias("sizes"), F.col("m.bits").alias("bits"))
+    rest = shared.written(_across(mixed, shared.written(parts, "parts"), num, den, STRETCH), "more-pairs")
     # Copies take the component of their class; a doc_id with several texts links their classes.
     of_doc = of_class.groupBy("doc_id").agg(F.min("rep").alias("rep"), F.max("rep").alias("last"))
     several = of_class.join(of_doc.filter("rep < last").select("doc_id", F.col("rep").alias("a")), "doc_id").select("a", F.col("rep").alias("b"))
-    comp = merged(comp, shared.written(verified(rest, docs, num, den).union(several), "links"))
+    comp = merged(comp, linked(rest).union(several))
     found = of_doc.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("component"))
     ids = made.select("doc_id", F.col("n").alias("n_shingles"))
     return ids.join(found, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
@@ -333,3 +477,17 @@ def keep_one(docs: DataFrame, threshold: tuple[int, int] = (3, 4)) -> DataFrame:
 def op8_jaccard_join(spark, sf_dir):
     """Components of all documents whose 5-word shingles overlap by 75 %."""
     return jaccard_components(shared.table(spark, sf_dir, "documents"))
+
+
+ORACLE = {
+    "op8_jaccard_join": """WITH RECURSIVE cut AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+  WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM cut),
+flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS c FROM flat a JOIN flat b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM met WHERE 100 * c >= 75 * (n + m - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(r.b) AS component_id
+FROM sets s JOIN reach r ON r.a = s.doc_id GROUP BY s.doc_id, s.s"""
+}

@@ -33,4 +33,4 @@ QUERIES = {
     "op12_collocations": collocations.op12_collocations,
     "op13_conversation_repair": repair.op13_conversation_repair,
 }
-ORACLE = {**quality.ORACLE, **warc.ORACLE, **topk.ORACLE, **hyperminhash.ORACLE, **collocations.ORACLE, **repair.ORACLE}
+ORACLE = {**quality.ORACLE, **warc.ORACLE, **topk.ORACLE, **jaccard.ORACLE, **hyperminhash.ORACLE, **collocations.ORACLE, **repair.ORACLE}

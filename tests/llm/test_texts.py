@@ -78,6 +78,47 @@ def test_jaccard(make_docs, odd_docs, share):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(set(got.values()))
 
 
+def test_jaccard_loose_groups_in_small_tiles(make_docs, monkeypatch):
+    monkeypatch.setattr(jaccard, "HUB_ROUNDS", 0)
+    monkeypatch.setattr(jaccard, "STRETCH", 3)
+    monkeypatch.setattr(jaccard, "PART_MEMBERS", 2)
+    monkeypatch.setattr(jaccard, "PAIRS", 50)
+    rng = np.random.default_rng(8)
+    base = [f"w{x}" for x in range(150)]
+    rows = []
+    for i in range(150):  # copies with one to four changed words each: some pairs link, most do not
+        w = list(base)
+        for k in rng.integers(0, 150, int(rng.integers(1, 5))):
+            w[k] = f"n{i}x{k}"
+        rows.append((i, " ".join(w[: 150 - int(rng.integers(0, 3))])))
+    rows += [(300 + i, " ".join(base[:-1] + [f"z{i}"])) for i in range(30)]  # many share prefix and size
+    docs = make_docs(rows)
+    seen = []
+    across = jaccard._across
+    monkeypatch.setattr(jaccard, "_across", lambda *a: seen.append(across(*a)) or seen[-1])
+    want = brute_components(rows)[0]
+    for hub in (jaccard.with_hubs, lambda posted, num, den, ways: with_own(posted, num, den, ways)):
+        monkeypatch.setattr(jaccard, "with_hubs", hub)
+        got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(docs).collect()}
+        assert got == want
+    assert seen[1].count() > 0
+
+
+def with_own(posted, num, den, ways):
+    """Postings without any hub, so that all links between groups are left to the tiles."""
+    from pyspark.sql import functions as F
+
+    return posted.withColumn("hub", F.col("gid"))
+
+
+def test_jaccard_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{SF}/documents.parquet'")
+    want = con.execute(jaccard.ORACLE["op8_jaccard_join"]).fetchall()
+    got = jaccard.op8_jaccard_join(spark, SF).select("doc_id", "n_shingles", "component_id")
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def test_jaccard_null_ids_and_empty(make_docs, odd_docs):
     got = jaccard.jaccard_components(make_docs([(None, "a b c d e f"), (1, "a b c d e f"), (2, None)])).collect()
     assert {(r.doc_id, r.n_shingles, r.component_id) for r in got} == {(None, 2, None), (1, 2, 1), (2, 0, 2)}
