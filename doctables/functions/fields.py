@@ -14,11 +14,8 @@ FIELD_WORD = r'"(?:[^"\\]|\\.)*"|\\[^\s"]|[^\s"\\]+'
 FIELD_COMMAND = r"^\s*(\w+)(?![^\s\"\\])"
 # switches that give a format: of dates, numbers, texts
 FORMAT_SWITCHES = ("@", "#", "*")
-# date patterns Spark can format; others fall back to the default
-DATE_FORMAT = (
-    r"^(?!.*(?:M{5}|d{3}|H{3}|h{3}|m{3}|s{3}|y{5}))"
-    r"(?:yyyy|yy|MMMM|MMM|MM|M|dd|d|HH|H|hh|h|mm|m|ss|s|[ :/.,-])+\z"
-)
+# a date format is read in tokens: quoted text, AM/PM, runs of one letter, an escaped character, any other character
+DATE_TOKEN = r"""'[^']*'|"[^"]*"|(?i:am/pm)|tt?|d+|M+|y+|H+|h+|m+|s+|\\[\s\S]|[\s\S]"""
 DEFAULT_DATE_FORMAT = "yyyy-MM-dd HH:mm:ss"
 PLACEHOLDER = r"\[%([^\]]+)\]"
 OPTION = r"^Item\s*([+-]?[0-9]+) (Value|Display)\z"
@@ -88,11 +85,37 @@ def field_date_property(command: Column | str) -> Column:
     return _lookup(_col(command), fixed.DATE_FIELDS)
 
 
+def _date_token(ts: Column, token: Column) -> Column:
+    """What one token of a date format shows; text that is no token stands for itself."""
+    size, letter = F.length(token), F.substring(token, 1, 1)
+
+    def shown(pattern: str) -> Column:
+        return F.date_format(ts, pattern)
+
+    year = F.year(ts).cast("string")
+    out = F.when(letter.isin("'", '"') & (size > 1), F.substr(token, F.lit(2), size - 2))
+    out = out.when((letter == "\\") & (size == 2), F.substring(token, 2, 1))
+    out = out.when((token == "tt") | (F.lower(token) == "am/pm"), shown("a")).when(token == "t", F.substring(shown("a"), 1, 1))
+    out = out.when(token == "y", (F.year(ts) % 100).cast("string")).when(token == "yy", shown("yy"))
+    out = out.when(letter == "y", F.lpad(year, F.greatest(size, F.length(year)), F.lit("0")))
+    for one in "dM":
+        out = out.when(token == one, shown(one)).when(token == one * 2, shown(one * 2))
+    for one, short, full in (("d", "EEE", "EEEE"), ("M", "MMM", "MMMM")):
+        out = out.when(token == one * 3, shown(short)).when(letter == one, shown(full))
+    for one in "Hhms":
+        out = out.when(token == one, shown(one)).when(letter == one, shown(one * 2))
+    return out.otherwise(token)
+
+
 def date_text(ts: Column, pattern: Column) -> Column:
-    """Date in a field's own format, or the default one, escaped for Markdown."""
-    usable = F.coalesce(pattern.rlike(DATE_FORMAT), F.lit(False))
-    chosen = F.when(usable, pattern).otherwise(DEFAULT_DATE_FORMAT)
-    return md_escape(F.call_function("date_format", ts, chosen))
+    """Date in a field's own format, or the default one where it gives none, escaped for Markdown.
+
+    Formats hold d to dddd (day, weekday), M to MMMM, y to yyyyy, H, h, m, s, AM/PM, quoted and escaped text; other characters stand
+    for themselves.
+    """
+    chosen = F.when(F.length(pattern) > 0, pattern).otherwise(DEFAULT_DATE_FORMAT)
+    tokens = F.regexp_extract_all(chosen, F.lit(DATE_TOKEN), F.lit(0))
+    return md_escape(F.array_join(F.transform(tokens, lambda token: _date_token(ts, token)), ""))
 
 
 def control_type(tag: Column | str) -> Column:

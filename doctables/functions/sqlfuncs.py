@@ -73,6 +73,10 @@ FUNCTIONS = {
     "cell_to_days(ts TIMESTAMP_NTZ) RETURNS DOUBLE": (
         "((timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) + 2209161600000000) DIV 1000) / 86400000D"
     ),
+    "cell_ref(col BIGINT, nr BIGINT) RETURNS STRING": "concat(cell_col_name(col), string(nr))",
+    "cell_from_days(days DOUBLE) RETURNS TIMESTAMP_NTZ": (
+        "timestampadd(MICROSECOND, (bigint(floor(days * 86400000D + 0.5D)) - 2209161600000) * 1000, TIMESTAMP_NTZ'1970-01-01 00:00:00')"
+    ),
     "cell_text_width(s STRING) RETURNS DOUBLE": (
         f"floor((length(s) * {fixed.MAX_DIGIT_WIDTH}D + 5) / {fixed.MAX_DIGIT_WIDTH}D * 256) / 256"
     ),

@@ -36,10 +36,10 @@ def doc_language(spark, sf):
 
 
 @query("unhandled_census", views("blocks") + """SELECT path, CASE WHEN pos % 2 = 0 THEN '' ELSE 'urn:other#' END || tag AS element, count(*) AS n
-FROM blocks WHERE pos % 2 = 1 OR tag NOT IN ('p', 'b', 'br') GROUP BY ALL""")
+FROM blocks WHERE regexp_matches(tag, '^[A-Za-z]') AND (pos % 2 = 1 OR tag NOT IN ('p', 'b', 'br', 'text', 'body', 'title')) GROUP BY ALL""")
 def unhandled_census(spark, sf):
     ns = F.when(F.col("pos") % 2 == 0, fixed.WORD_NS).otherwise("urn:other")
-    return K.unhandled_census(V.blocks(spark, sf).withColumn("ns", ns), fixed.HANDLED_WORD, fixed.WORD_NS)
+    return K.unhandled_census(V.blocks(spark, sf).where(F.col("tag").rlike("^[A-Za-z]")).withColumn("ns", ns), fixed.HANDLED_WORD, fixed.WORD_NS)
 
 
 @query("unknown_styles", views("paragraphs") + "SELECT DISTINCT path, 'UNKNOWN1' AS style_id FROM paragraphs WHERE style_id = 'Unknown1'")
@@ -109,7 +109,8 @@ def row_diff(spark, sf):
 
 
 @query("sql_functions", views("fields") + rf"""SELECT e.event_id, chr(CAST(65 + e.user_id % 26 AS INTEGER)) AS letter, {_oa('e.ts')} AS days, {_width('e.props')} AS width,
-  {_escaped('e.props')} AS md, CASE WHEN e.event_id % 6 <> 5 THEN upper(regexp_extract(instr, '\w+')) END AS command, CAST(e.user_id % 26 + 1 AS INTEGER) AS back
+  {_escaped('e.props')} AS md, CASE WHEN e.event_id % 6 <> 5 THEN upper(regexp_extract(instr, '\w+')) END AS command, CAST(e.user_id % 26 + 1 AS INTEGER) AS back,
+  chr(CAST(65 + e.user_id % 26 AS INTEGER)) || e.event_id AS ref, date_trunc('milliseconds', e.ts) AS ts_back
 FROM events e JOIN fields f ON f.pos = e.event_id""")
 def sql_functions(spark, sf):
     sqlfuncs.register(spark)
@@ -119,7 +120,8 @@ def sql_functions(spark, sf):
     return spark.sql(
         "SELECT event_id, cell_col_name(user_id % 26 + 1) AS letter, cell_to_days(ts) AS days, cell_text_width(props) AS width, "
         "md_escape(props) AS md, field_command(instr) AS command, "
-        "cell_parse_ref(concat(cell_col_name(user_id % 26 + 1), '7')).col AS back FROM doctables_events"
+        "cell_parse_ref(concat(cell_col_name(user_id % 26 + 1), '7')).col AS back, "
+        "cell_ref(user_id % 26 + 1, event_id) AS ref, cell_from_days(cell_to_days(ts)) AS ts_back FROM doctables_events"
     )
 
 

@@ -36,7 +36,7 @@ def norm_style(spark, sf):
 @query("block_prefix", views("paragraphs", "blocks") + f"""SELECT path, pos, CASE WHEN style = 'TITLE' THEN '# ' || text WHEN style LIKE 'H_'
     THEN repeat('#', CAST(style[2] AS INTEGER) + 1) || ' ' || text WHEN style = 'QUOTE' THEN '> ' || text ELSE text END AS md, 'doc' AS src
   FROM (SELECT *, {_STYLE} AS style FROM paragraphs)
-UNION ALL SELECT path, pos, CASE WHEN tag = 'h1' THEN '## ' || text ELSE text END, 'page' FROM blocks""")
+UNION ALL SELECT path, pos, CASE tag WHEN 'h1' THEN '## ' || text WHEN 'title' THEN '# ' || text ELSE text END, 'page' FROM blocks""")
 def block_prefix(spark, sf):
     docs = V.paragraphs(spark, sf).select("path", "pos", "text", F.col("style_id").alias("s"), F.lit("doc").alias("src"))
     pages = V.blocks(spark, sf).select("path", "pos", "text", F.col("tag").alias("s"), F.lit("page").alias("src"))
@@ -323,7 +323,7 @@ def _page_document(spark, sf):
 
 @query("assemble", views("blocks", "anchors") + f"""SELECT path, CAST(rank AS BIGINT) * 1125899906842624 + CAST(pos AS BIGINT) // 16384 + 1 AS part, string_agg(text, '' ORDER BY pos) AS text FROM (
   SELECT page_id AS path, {N.HEADER} AS rank, 0 AS pos, 'Source: ' || url || chr(10) || chr(10) AS text FROM pages
-  UNION ALL SELECT path, {N.BODY}, pos, CASE WHEN tag = 'h1' THEN '## ' ELSE '' END || {_escaped('text')} || chr(10) || chr(10) FROM blocks
+  UNION ALL SELECT path, {N.BODY}, pos, CASE tag WHEN 'h1' THEN '## ' WHEN 'title' THEN '# ' ELSE '' END || {_escaped('text')} || chr(10) || chr(10) FROM blocks
   UNION ALL SELECT path, {N.FOOTNOTE}, CAST(rel_id[2:] AS INTEGER), chr(10) || '[^fn' || rel_id[2:] || ']:' || chr(9) || target || chr(10) FROM anchors) GROUP BY ALL""")
 def assemble(spark, sf):
     return N.assemble(_page_document(spark, sf))

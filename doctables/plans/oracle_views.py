@@ -39,7 +39,6 @@ _STYLES = ["Heading1", "heading 2", "Rubrik 3", "Titre4", "Title", "Quote", "Lis
            "Caption", "Normal", "Unknown1", None, None]
 _ALIGNS = ["left", "start", "center", "right", "both", None]
 _UNDER = [None] * 8 + ["single", "double", "wave", "thick", "none"]
-_TAG = r"<(h1|p|li|a|br|b|nav)(?:\s[^>]*)?>([^<]*)"
 _HREF = '<a href="([^"]*)"'
 
 VIEWS: dict[str, tuple[list[str], str]] = {
@@ -87,10 +86,13 @@ SELECT path, para_pos, run_pos, CASE WHEN run_pos > 0 THEN ' ' || word ELSE word
 FROM (SELECT path, para_pos, CAST(run_pos AS INTEGER) AS run_pos, word, n + run_pos AS k FROM
   (SELECT path, pos AS para_pos, n, unnest(range(len(w))) AS run_pos, unnest(w) AS word FROM
     (SELECT *, string_split(text, ' ') AS w FROM paragraphs)))"""),
-    "blocks": ([], f"""
-SELECT page_id AS path, CAST(pos AS INTEGER) AS pos, tag, text FROM
-  (SELECT page_id, unnest(range(len(a))) AS pos, unnest(a) AS tag, unnest(b) AS text FROM
-    (SELECT page_id, regexp_extract_all(html, '{_TAG}', 1) AS a, regexp_extract_all(html, '{_TAG}', 2) AS b FROM pages))"""),
+    "blocks": ([], r"""
+SELECT * FROM (SELECT path, CAST(pos AS INTEGER) AS pos,
+    CASE WHEN pos = 0 OR gt = 0 THEN 'text' WHEN name = '' THEN '!' ELSE name END AS tag,
+    CASE WHEN pos = 0 THEN piece WHEN gt = 0 THEN '<' || piece ELSE substr(piece, gt + 1) END AS text
+  FROM (SELECT *, strpos(piece, '>') AS gt, regexp_extract(piece, '^/?[A-Za-z][A-Za-z0-9]*') AS name FROM
+    (SELECT page_id AS path, unnest(range(len(l))) AS pos, unnest(l) AS piece FROM (SELECT page_id, string_split(html, '<') AS l FROM pages))))
+WHERE text <> '' OR tag IN ('h1', 'p', 'li', 'a', 'br', 'b', 'nav')"""),
     "anchors": ([], f"""
 SELECT page_id AS path, 'r' || i AS rel_id, target FROM
   (SELECT page_id, unnest(range(len(a))) AS i, unnest(a) AS target FROM

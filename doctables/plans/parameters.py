@@ -52,14 +52,19 @@ def seq_numbers(spark, sf):
     return P.seq_numbers(V.fields(spark, sf), block_rows=4096)
 
 
+_FORMATS = ["dd.MM.yyyy", "dddd, d MMMM yyyy", "ddd d/M yy", "h:mm am/pm", "'Day' dd \"of\" MMM", "HH:mm:ss yyyyy", "y-MM tt"]
+_SHOWN = """CASE o_orderkey % 7 WHEN 0 THEN strftime(o_orderdate, '%d.%m.%Y') WHEN 1 THEN strftime(o_orderdate, '%A, %-d %B %Y') WHEN 2 THEN strftime(o_orderdate, '%a %-d/%-m %y')
+  WHEN 3 THEN strftime(o_orderdate, '%-I:%M %p') WHEN 4 THEN strftime(o_orderdate, 'Day %d of %b') WHEN 5 THEN strftime(o_orderdate, '%H:%M:%S 0%Y') ELSE year(o_orderdate) % 100 || strftime(o_orderdate, '-%m %p') END"""
+
+
 @query("date_fields", views("fields") + f"""SELECT f.path, pos, {_escaped("strftime(c, '%Y-%m-%d %H:%M')")} AS md FROM fields f JOIN (SELECT user_id AS path, min(ts) AS c FROM events GROUP BY 1) USING (path) WHERE pos % 6 = 2
-UNION ALL SELECT 0, o_orderkey, {_escaped("strftime(o_orderdate, '%d.%m.%Y')")} FROM orders""")
+UNION ALL SELECT 0, o_orderkey, {_escaped(_SHOWN)} FROM orders""")
 def date_fields(spark, sf):
     now = F.lit("2024-01-01 00:00:00")
     dated = P.date_fields(V.fields(spark, sf), _field_props(spark, sf), now)
     plain = V.table(spark, sf, "orders").select(
         F.lit(0).cast("long").alias("path"), F.col("o_orderkey").alias("pos"),
-        FF.date_text(F.col("o_orderdate"), F.lit("dd.MM.yyyy")).alias("md"),
+        FF.date_text(F.col("o_orderdate"), V.pick(F.col("o_orderkey"), _FORMATS)).alias("md"),
     )
     return dated.unionByName(plain)
 

@@ -213,21 +213,27 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-TAG = r"<(h1|p|li|a|br|b|nav)(?:\s[^>]*)?>([^<]*)"
+# tags that count without a text behind them
+BARE_TAGS = ("h1", "p", "li", "a", "br", "b", "nav")
+TAG_NAME = "^/?[A-Za-z][A-Za-z0-9]*"
 HREF = r'<a href="([^"]*)"'
 
 
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V5: opening tags of a page with the text that follows each."""
-    def found(group):
-        return F.regexp_extract_all("html", F.lit(TAG), F.lit(group))
-
+    """V5: a page cut at each ``<``, tag (with ``/`` where it closes) and the whole text behind it.
+
+    Text ahead of all tags, or behind a ``<`` that no ``>`` follows, has the tag ``text``; comments and declarations have ``!``.
+    Closing and other tags without a text are left out.
+    """
+    piece, close = F.col("piece"), F.instr("piece", ">")
+    name = F.regexp_extract(piece, TAG_NAME, 0)
+    tag = F.when((F.col("pos") == 0) | (close == 0), "text").when(name == "", "!").otherwise(name)
+    text = F.when(F.col("pos") == 0, piece).when(close == 0, F.concat(F.lit("<"), piece)).otherwise(F.substr(piece, close + 1))
     return (
         table(spark, sf_dir, "pages")
-        .select("page_id", F.posexplode(F.arrays_zip(found(1).alias("tag"), found(2).alias("text")))
-                .alias("pos", "v"))
-        .select(F.col("page_id").alias("path"), F.col("pos").cast("int").alias("pos"),
-                F.col("v.tag").alias("tag"), F.col("v.text").alias("text"))
+        .select(F.col("page_id").alias("path"), F.posexplode(F.split("html", "<", -1)).alias("pos", "piece"))
+        .select("path", F.col("pos").cast("int").alias("pos"), tag.alias("tag"), text.alias("text"))
+        .where((F.col("text") != "") | F.col("tag").isin(*BARE_TAGS))
     )
 
 

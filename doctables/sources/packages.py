@@ -6,6 +6,7 @@ Python runs; both stream part by part. Everything after that is DataFrames.
 
 from __future__ import annotations
 
+import re
 import io
 import xml.etree.ElementTree as ET
 import zipfile
@@ -76,9 +77,14 @@ def scan_packages(spark: SparkSession, folder: str, glob: str = "*", recursive:
     return _package(reader.option("recursiveFileLookup", str(recursive).lower()).load(folder))
 
 
-def stream_packages(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
-    """Files of a folder as they arrive."""
-    reader = spark.readStream.format("binaryFile").option("pathGlobFilter", glob)
+def read_packages(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The files at these paths; no character of a path is a wildcard."""
+    return _package(spark.read.format("binaryFile").load([re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in paths]))
+
+
+def stream_packages(spark: SparkSession, folder: str, glob: str = "*", max_files: int = 1000) -> DataFrame:
+    """Files of a folder as they arrive, at most max_files in a batch."""
+    reader = spark.readStream.format("binaryFile").option("pathGlobFilter", glob).option("maxFilesPerTrigger", max_files)
     schema = "path string, modificationTime timestamp, length long, content binary"
     return _package(reader.schema(schema).load(folder))
 

@@ -32,3 +32,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     folder = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(folder)
     return df.sparkSession.read.parquet(folder)
+
+
+def drop_staged(df: DataFrame) -> None:
+    """Remove the files of a staged table that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

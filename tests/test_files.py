@@ -12,7 +12,7 @@ from doctables.operators import params as Q
 from doctables.plans import packages as G
 from doctables.plans.convert import word_to_markdown, workbook_grid
 from doctables.sources import packages as S
-from doctables.streaming.convert import stream_convert
+from doctables.streaming.convert import convert_changed, converted_texts, file_states, stream_convert
 
 BODY = "<w:p><w:r><w:t>Hello</w:t></w:r></w:p>"
 
@@ -113,6 +113,52 @@ def test_stream(spark, landing):
     assert [r["text"] for r in spark.read.parquet(f"{out}/converted").collect()] == ["Hello\n\n"]
 
 
+def test_changed_files(spark):
+    import os
+
+    landing, out = tempfile.mkdtemp(prefix="run-"), tempfile.mkdtemp(prefix="run-")
+
+    def put(name, data, when):
+        with open(f"{landing}/{name}", "wb") as f:
+            f.write(data)
+        os.utime(f"{landing}/{name}", (when, when))
+
+    def book(text):
+        return G.xlsx_bytes([("S", "A1:A1", f'<row r="1"><c r="A1" t="str"><v>{text}</v></c></row>')], [])
+
+    def shown():
+        return {r["path"].rsplit("/", 1)[1]: r["text"].strip('["]') for r in converted_texts(spark, out).collect()}
+
+    put("a.xlsx", book("one"), 1000)
+    put("b [1].xlsx", book("two"), 2000)
+    put("c.xlsx", b"PK\x03\x04junk", 3000)
+    assert convert_changed(spark, landing, out, "xlsx", max_files=2) == 2  # the oldest first
+    assert convert_changed(spark, landing, out, "xlsx", max_files=2) == 1
+    assert shown() == {"a.xlsx": "one", "b [1].xlsx": "two"}
+    put("a.xlsx", b"half", 4000)  # damaged version: the text before stays
+    put("late.xlsx", book("late"), 10)
+    put("c.xlsx", book("mended"), 3500)
+    assert convert_changed(spark, landing, out, "xlsx") == 3
+    assert shown() == {"a.xlsx": "one", "b [1].xlsx": "two", "c.xlsx": "mended", "late.xlsx": "late"}
+    assert [convert_changed(spark, landing, out, "xlsx") for _ in range(3)] == [1, 1, 0]  # three tries in all
+    put("a.xlsx", book("new"), 5000)
+    assert convert_changed(spark, landing, out, "xlsx") == 1 and shown()["a.xlsx"] == "new"
+    states = {r["path"].rsplit("/", 1)[1]: (r["reason"], r["tries"]) for r in file_states(spark, out).collect()}
+    assert states == {"a.xlsx": (None, 1), "b [1].xlsx": (None, 1), "c.xlsx": (None, 1), "late.xlsx": (None, 1)}
+
+
+def test_date_formats(spark):
+    from doctables.functions import fields as FF
+
+    cases = [
+        ("dddd, d MMMM yyyy", "Tuesday, 5 March 2024"), ("ddd dd/MM-yy", "Tue 05/03-24"), ("h:mm:ss am/pm", "2:07:09 PM"), ("HH'h'm tt", "14h7 PM"), ("y t", "24 P"),
+        ("", "2024-03-05 14:07:09"), ('"day" d', "day 5"), ("\\d d", "d 5"), ("yyyyy MMM", "02024 Mar"), ("it's d", "iP'9 5"), ("yyy", "2024"), (None, "2024-03-05 14:07:09"),
+    ]
+    rows = spark.createDataFrame([(i, f) for i, (f, _) in enumerate(cases)], "i int, f string")
+    got = rows.select("i", FF.date_text(F.lit("2024-03-05 14:07:09").cast("timestamp_ntz"), F.col("f")).alias("t")).orderBy("i").collect()
+    assert [r["t"].replace("\\", "") for r in got] == [t for _, t in cases]
+
+
 def test_write_and_read_back(spark):
     folder = tempfile.mkdtemp(prefix="run-")
     texts = spark.createDataFrame([("/in/x/a.docx", 0, "t")], "path string, part long, text string")
