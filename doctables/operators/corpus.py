@@ -16,17 +16,19 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def lang_counts(run: DataFrame) -> DataFrame:
-    """How often each language is tagged in a document, and where first. ``en-GB`` counts as ``en``."""
+def lang_counts(run: DataFrame, times: Column | str | None = None) -> DataFrame:
+    """How often each language is tagged in a document, and where first. ``en-GB`` counts as ``en``.
+
+    A row stands for one tag, or for ``times`` of them.
+    """
     lang = F.substring_index("tag", "-", 1)
-    return run.groupBy("path", lang.alias("lang")).agg(
-        F.count("*").alias("n"), F.min("pos").alias("first")
-    )
+    n = F.count("*") if times is None else F.sum(_col(times))
+    return run.groupBy("path", lang.alias("lang")).agg(n.alias("n"), F.min("pos").alias("first"))
 
 
-def doc_language(run: DataFrame, prop: DataFrame) -> DataFrame:
+def doc_language(run: DataFrame, prop: DataFrame, times: Column | str | None = None) -> DataFrame:
     """Language property of each document, else its most counted language, the first of equals."""
-    voted = lang_counts(run).groupBy("path").agg(
+    voted = lang_counts(run, times).groupBy("path").agg(
         F.max_by("lang", F.struct(F.col("n"), (-F.col("first")).alias("f"))).alias("voted")
     )
     given = prop.where((F.col("name") == "Language") & (F.length("value") > 0)).select(
@@ -35,13 +37,17 @@ def doc_language(run: DataFrame, prop: DataFrame) -> DataFrame:
     return voted.join(given, "path", "full").select("path", F.coalesce("given", "voted").alias("language"))
 
 
-def unhandled_census(element: DataFrame, handled: dict[str, list[str]], home: str) -> DataFrame:
-    """Elements (ns, tag) without a rule, counted per document. Names outside ``home`` are prefixed by their vocabulary."""
+def unhandled_census(element: DataFrame, handled: dict[str, list[str]], home: str, times: Column | str | None = None) -> DataFrame:
+    """Elements (ns, tag) without a rule, counted per document. Names outside ``home`` are prefixed by their vocabulary.
+
+    A row stands for one element, or for ``times`` of them.
+    """
     known = F.lit(False)
     for ns, names in handled.items():
         known = known | ((F.col("ns") == ns) & F.col("tag").isin(names))
     name = F.when(F.col("ns") == home, F.col("tag")).otherwise(F.concat("ns", F.lit("#"), "tag"))
-    return element.where(~known).groupBy("path", name.alias("element")).agg(F.count("*").alias("n"))
+    n = F.count("*") if times is None else F.sum(_col(times))
+    return element.where(~known).groupBy("path", name.alias("element")).agg(n.alias("n"))
 
 
 def unknown_styles(paragraph: DataFrame) -> DataFrame:
@@ -96,6 +102,21 @@ def output_path(path: Column | str, root: str, folder: str | None = None) -> Col
     return F.concat(F.lit(folder.rstrip("/") + "/"), with_extension(below, "md"))
 
 
+def target_path(path: Column | str, root: str, pattern: str, out: str | None = None) -> Column:
+    """Where the Markdown of a file below ``root`` goes: beside it, below ``out`` if that ends with a slash, else under
+    the name that ``out`` makes of it, in the same sub-folder. Null for names that do not match ``pattern``.
+    """
+    path = _col(path)
+    matches = base_name(path).rlike(wildcard_pattern(pattern))
+    if out is None or out.endswith("/"):
+        return F.when(matches, output_path(path, root, out))
+    folder, slash, name = out.rpartition("/")
+    base = root if not root or root.endswith("/") else root + "/"
+    below = F.when(path.startswith(base), F.substring(path, len(base) + 1, 2147483647)).otherwise(base_name(path))
+    inner = F.regexp_extract(below, r"(?s)^(.*/)?[^/]*\z", 1)
+    return F.concat(F.lit(folder + slash), inner, output_name(base_name(path), pattern, name))
+
+
 # --- headers ---------------------------------------------------------------------------------
 
 

@@ -81,6 +81,15 @@ def word_elements(part: DataFrame) -> DataFrame:
     return S.read_elements(part).where(~old).withColumn("p", p)
 
 
+def file_props(files: DataFrame) -> DataFrame:
+    """Name and size of files as properties: (path, name, value)."""
+    facts = F.array(
+        F.struct(F.lit("FileName").alias("name"), F.col("path").alias("value")),
+        F.struct(F.lit("FileSize").alias("name"), F.col("length").cast("string").alias("value")),
+    )
+    return files.select("path", F.explode(facts).alias("v")).select("path", "v.*")
+
+
 # --- paragraphs ------------------------------------------------------------------------
 
 
@@ -250,17 +259,22 @@ def _joined(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def word_to_markdown(part: DataFrame, now: Column | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def word_to_markdown(
+    part: DataFrame, now: Column | None = None, block_rows: int = BLOCK_ROWS, files: DataFrame | None = None
+) -> DataFrame:
     """Markdown of word-processor packages: (path, part, text).
 
     Files that could not be opened are left out. Text boxes and tables inside
-    table cells stand on their own at their place in the document.
+    table cells stand on their own at their place in the document. ``files`` has the
+    (path, length) that fields of file name and size show.
     """
     now = F.current_timestamp() if now is None else now
     ok = S.readable(part)
     el = staged(word_elements(ok), "elements")
     rels = S.read_links(ok)
     prop = S.read_props(ok)
+    if files is not None:
+        prop = prop.unionByName(file_props(files))
 
     paras = paragraph_properties(el)
     noted = el.where(_is("footnote", "endnote")).select(

@@ -336,6 +336,66 @@ def read_elements(part: DataFrame) -> DataFrame:
     return texts.mapInArrow(_shred, ELEMENT_SCHEMA)
 
 
+# --- tags of every text part --------------------------------------------------------------------
+
+TAG_SCHEMA = "path string, kind string, role string, ns string, tag string, lang string, n bigint, first bigint"
+#: Distinct tags that are held before their counts are handed on, and bytes that are parsed at a time.
+HELD_TAGS = 4096
+PARSE_BYTES = 1 << 20
+# fixed values: elements that only hold a text, by role; the texts below them count
+_HOLDERS = {"document", "footnotes", "endnotes", "footnote", "endnote"}
+
+_TAG_ARROW = pa.schema([
+    ("path", pa.string()), ("kind", pa.string()), ("role", pa.string()), ("ns", pa.string()), ("tag", pa.string()),
+    ("lang", pa.string()), ("n", pa.int64()), ("first", pa.int64()),
+])
+
+
+def _count_tags(path: str, kind: str, role: str, xml: str) -> Iterator[tuple]:
+    """Tags of one part with how often and where first; a tag may come in several rows, whose counts add up."""
+    held: dict[tuple, list[int]] = {}
+    pos = 0
+
+    def start(name: str, attrs: dict[str, str]) -> None:
+        nonlocal pos
+        ns, _, tag = name.rpartition(" ")
+        lang = attrs.get(f"{ns} val") if tag == "lang" and ns == fixed.WORD_NS else None
+        if kind != "docx" or tag not in _HOLDERS or ns != fixed.WORD_NS:
+            held.setdefault((ns, tag, lang), [0, pos])[0] += 1
+        pos += 1
+
+    parser = expat.ParserCreate(namespace_separator=" ")
+    parser.StartElementHandler = start
+    data = xml.encode()
+    for at in range(0, len(data) + 1, PARSE_BYTES):
+        parser.Parse(data[at : at + PARSE_BYTES], at + PARSE_BYTES > len(data))
+        if len(held) >= HELD_TAGS:
+            yield from ((path, kind, role, *key, n, first) for key, (n, first) in held.items())
+            held.clear()
+    yield from ((path, kind, role, *key, n, first) for key, (n, first) in held.items())
+
+
+def _tag_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows() -> Iterator[tuple]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield from _count_tags(*(batch.column(c)[i].as_py() for c in range(4)))
+
+    yield from _batches(rows(), _TAG_ARROW, BATCH_ROWS, BATCH_BYTES)
+
+
+def read_tags(part: DataFrame) -> DataFrame:
+    """Elements of every text and sheet, counted where they are read: (path, kind, role, ns, tag, lang, n, first).
+
+    ``lang`` is the value of a Word ``lang`` element. Tables of numbering, strings and styles are no texts. Counts of a tag
+    in a part may come in several rows; ``first`` counts the elements of its part.
+    """
+    texts = [r for r in TEXTS if r != "officeDocument/numbering"]
+    is_text = (F.col("kind") == "docx") & F.col("role").isin(texts)
+    is_sheet = (F.col("kind") == "xlsx") & ((F.col("role") == "officeDocument") | F.col("role").endswith("sheet"))
+    return part.where((is_text | is_sheet) & F.col("xml").isNotNull()).select("path", "kind", "role", "xml").mapInArrow(_tag_batches, TAG_SCHEMA)
+
+
 def read_links(part: DataFrame) -> DataFrame:
     """Relationships of the texts of Word packages: (path, part, rel_id, target), part as in read_elements."""
     owners = part.where(F.col("role").isin(*TEXTS)).select("path", "part", text_name().alias("name"))

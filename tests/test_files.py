@@ -278,3 +278,62 @@ def test_row_diff_counts_repeats(spark):
     b = spark.createDataFrame([("d", "x"), ("d", "z")], "path string, line string")
     got = sorted(tuple(r) for r in K.row_diff(a, b).collect())
     assert got == [("d", "x", "removed", 2), ("d", "y", "removed", 1), ("d", "z", "added", 1)]
+
+
+# --- whole folders ---------------------------------------------------------------------------
+
+
+def test_convert_folder(spark, landing):
+    from doctables.plans.folder import convert_folder
+
+    target = tempfile.mkdtemp(prefix="run-")
+    got = convert_folder(spark, landing, target, "*.docx", f"{target}/md/*.md", headers={"Title": "T"}).collect()
+    assert [tuple(r) for r in got] == [(1, 1, "2 file(s) found, 1 where converted, 1 where not converted.")]  # upper-case names below only
+    texts = [tuple(r) for r in spark.read.parquet(f"{target}/texts").select("out_path", "text").orderBy("part").collect()]
+    assert texts == [(f"{target}/md/a.md", "Title: T\n\n"), (f"{target}/md/a.md", "Hello\n\n")]
+    again = convert_folder(spark, landing, target, "*", recursive=True).collect()  # beside the files, results written over
+    assert [tuple(r) for r in again] == [(2, 3, "5 file(s) found, 2 where converted, 3 where not converted.")]
+    reasons = {r["path"].rsplit("/", 1)[1]: r["reason"] for r in spark.read.parquet(f"{target}/outcomes").collect()}
+    assert reasons == {"a.docx": None, "b.DOCX": None, "broken.docx": "decode error", "c.xlsx": "not the expected kind", "note.txt": "not the expected kind"}
+    paths = sorted(r["out_path"].rsplit("/", 2)[1:] for r in spark.read.parquet(f"{target}/texts").collect())
+    assert [p[1] for p in paths] == ["a.md", "b.md"] or [p[1] for p in paths] == ["b.md", "a.md"]
+    with pytest.raises(ValueError):
+        convert_folder(spark, landing, target, "*.docx", "/x/*-*.md")
+    none = convert_folder(spark, landing, target, "nothing*.docx").collect()
+    assert [tuple(r) for r in none] == [(0, 0, "No files processed.")]
+
+
+def test_one_output_name_for_several_files(spark):
+    from doctables.plans.folder import file_outcomes, folder_texts
+
+    files = [(f"/in/{n}.docx", "docx", 0, G.docx_bytes(f"<w:p><w:fldSimple w:instr='FILESIZE'/><w:r><w:t>{n}</w:t></w:r></w:p>")) for n in ("a", "b")]
+    package = spark.createDataFrame([(p, k, len(d), d) for p, k, _, d in files], G.SCHEMA)
+    part = S.unpack(package)
+    got = folder_texts(package, part, file_outcomes(package, part, K.target_path("path", "/in", "*.docx", "/out/all.md"))).collect()
+    assert [(r["path"], r["out_path"], r["text"]) for r in got] == [("/in/b.docx", "/out/all.md", f"{len(files[1][3])}b\n\n")]
+
+
+@pytest.mark.parametrize("path,pattern,out,want", [
+    ("/in/x/a.docx", "*.docx", None, "/in/x/a.md"), ("/in/x/a.docx", "*.docx", "/out/", "/out/x/a.md"), ("/in/a.docx", "*.docx", "/out/n-*.md", "/out/n-a.md"),
+    ("/in/x/y/a.docx", "*.docx", "/out/*.md", "/out/x/y/a.md"), ("/in/x/a.xlsx", "*.docx", None, None), ("/in/a b.docx", "a*.docx", "*.md", " b.md"),
+])
+def test_target_path(spark, path, pattern, out, want):
+    df = spark.createDataFrame([(path,)], "p string")
+    assert df.select(K.target_path("p", "/in", pattern, out).alias("r")).first()["r"] == want
+
+
+def test_tags_are_counted_whole(spark, monkeypatch):
+    """Counts add up when tags are handed on early and the text is parsed in small pieces."""
+    from doctables.plans.folder import file_census, file_languages
+
+    body = "".join(f'<w:p><w:r><w:rPr><w:lang w:val="{c}"/><w:lang w:eastAsia="x"/></w:rPr></w:r><w:odd{i % 5}/></w:p>' for i, c in enumerate(["sv", "en-GB", "en-US", "sv-FI", ""] * 40))
+    data = G.docx_bytes(body)
+    part = S.unpack(spark.createDataFrame([("d.docx", "docx", len(data), data)], G.SCHEMA))
+    row = part.where("role = 'officeDocument'").select("path", "kind", "role", "xml").first()
+    monkeypatch.setattr(S, "HELD_TAGS", 3)
+    monkeypatch.setattr(S, "PARSE_BYTES", 101)
+    counted = spark.createDataFrame(list(S._count_tags(*row)), S.TAG_SCHEMA)
+    assert counted.count() > 30
+    for tags in (counted, S.read_tags(part)):
+        assert {r["element"]: r["n"] for r in file_census(tags).collect()} == {f"odd{i}": 40 for i in range(5)}
+        assert file_languages(tags, S.read_props(part)).first()["language"] == "sv"  # 80 of each, sv first
