@@ -7,11 +7,13 @@ from pyspark.sql import types as T
 
 from doctables.functions import cells as C
 from doctables.operators import cells as E
+from doctables.operators import literals as L
 from doctables.operators import sheets as X
 from doctables.operators.running import block_of
 from doctables.plans import views as V
 from doctables.plans.oracle_views import views
 from doctables.plans.register import registry
+from doctables.sources.staging import staged
 
 QUERIES, ORACLE, query = registry()
 
@@ -221,6 +223,33 @@ def same_grid(spark, sf):
     return E.same_grid(a, b)
 
 
+_INSIDE = """inside AS (SELECT l.* FROM lit l JOIN bounds b ON b.path = l.path AND b.sheet_no = l.sheet_no AND b.has_data
+  AND l."row" BETWEEN b.top AND b.bottom AND l.col BETWEEN b."left" AND b."right" WHERE l.x <> '')"""
+
+
+@query("literal_cells", _GRID + f""", {_INSIDE} SELECT path, sheet_no, "row", col, x AS literal, CASE WHEN x[1] = '"' THEN 'text' WHEN starts_with(x, 'DateTime') THEN 'date'
+  WHEN x IN ('true', 'false') THEN 'boolean' ELSE 'number' END AS kind FROM inside""")
+def literal_cells(spark, sf):
+    summary = E.sheet_summary(V.sheets(spark, sf), V.cells(spark, sf))
+    texts = E.workbook_literal(summary, _lines(spark, sf), indent=True, rows_per_part=64)
+    return L.read_literal(staged(L.literal_tokens(L.in_order(texts)), "tokens")).drop("raw")
+
+
+@query("same_literal", _GRID + f""", {_INSIDE} SELECT path, sheet_no, "row", col, x AS a, CASE WHEN "row" % 5 = 2 THEN '"other"' END AS b FROM inside WHERE "row" % 5 = 2 OR "row" % 7 = 3""")
+def same_literal(spark, sf):
+    cells = E.decode_cells(V.cells(spark, sf))
+    bounds = E.sheet_bounds(V.sheets(spark, sf), cells)
+    summary = E.sheet_summary(V.sheets(spark, sf), cells)
+    other = F.when(F.col("row") % 5 == 2, F.lit('"other"')).otherwise(F.col("literal"))
+    changed = cells.withColumn("literal", other).where("row % 5 = 2 OR row % 7 <> 3")
+
+    def tokens(cell, indent, rows_per_part):
+        lines = E.grid_literal(E.grid_rows(cell, bounds.where("has_data"), "literal"))
+        return staged(L.literal_tokens(L.in_order(E.workbook_literal(summary, lines, indent, rows_per_part))), "tokens")
+
+    return L.same_literal(tokens(cells, True, 64), tokens(changed, False, 1000))
+
+
 # --- tables to sheets -----------------------------------------------------------------
 
 

@@ -165,3 +165,52 @@ def test_a_huge_range_is_a_few_runs(spark):
     assert runs == [
         (1, 4, blank), (5, 5, "[,1" + "," * 16382 + "]"), (6, 6, "[" + "," * 16383 + "2]"), (7, 899_999, blank), (900_000, 900_000, "[3" + "," * 16383 + "]"), (900_001, 1048576, blank),
     ]
+
+
+# --- literals read back ------------------------------------------------------------------
+
+
+def _literal(spark, texts):
+    from doctables.operators import literals as L
+
+    return L.literal_tokens(spark.createDataFrame([("b", i, t) for i, t in enumerate(texts)], "path string, part long, text string"))
+
+
+def test_literal_is_read_back(spark):
+    from doctables.operators import literals as L
+    from doctables.sources.staging import staged
+
+    values = ["plain", 'say "x"', "back\\slash", "\\", '\\"', "a,b],[c", "'it':{'Name':'x'", "{}[]", "l1\nl2\r\tz", "\\n", "DateTime(1)", "", "\\Q\\B", '"' * 3, "ö 😀"]
+    cells = [("b", 0, i + 2, (i % 3) + 2, "str", v) for i, v in enumerate(values)]
+    cells += [("b", 0, 3, 6, "n", "-1E-7"), ("b", 0, 3, 7, "b", "1"), ("b", 0, 3, 8, "d", "2024-03-05T07:08:09.250"), ("b", 2, 1, 1, "n", "7")]
+    df = spark.createDataFrame(cells, "path string, sheet_no int, row int, col int, t string, raw string")
+    sheets = spark.createDataFrame([("b", 0, 'It\'s "A"', None), ("b", 1, "Empty", None), ("b", 2, "Z", "A1:B4")], "path string, sheet_no int, sheet_name string, dim_ref string")
+    decoded = E.decode_cells(df)
+    lines = E.grid_literal(E.grid_rows(decoded, E.sheet_bounds(sheets, df).where("has_data"), "literal"))
+    summary = E.sheet_summary(sheets, df)
+
+    def tokens(indent, rows):
+        return staged(L.literal_tokens(L.in_order(E.workbook_literal(summary, lines, indent, rows))), "tokens")
+
+    want = {tuple(r) for r in decoded.select("sheet_no", "row", "col", "literal").collect()}
+    indented, compact = tokens(True, 4), tokens(False, 1000)
+    got = L.read_literal(indented).collect()
+    assert {(r["sheet_no"], r["row"], r["col"], r["literal"]) for r in got} == want
+    assert {r["row"]: r["raw"] for r in got if r["sheet_no"] == 0 and r["col"] < 5} == {i + 2: v for i, v in enumerate(values)}
+    assert {r["kind"]: r["raw"] for r in got if r["col"] > 5} == {"number": "-1E-07", "boolean": "true", "date": "2024-03-05T07:08:09.250"}
+    names = {r["sheet_no"]: (r["sheet_name"], r["left"], r["bottom"], r["has_data"]) for r in L.literal_sheets(compact).collect()}
+    assert names == {0: ('It\'s "A"', 2, 16, True), 1: ("Empty", 0, 0, False), 2: ("Z", 1, 4, True)}
+    assert L.same_literal(indented, compact).count() == 0
+
+
+def test_odd_literals(spark):
+    from doctables.operators import literals as L
+
+    head = "{'S':{'Name':'S','Left':1,'Top':5,'Right':3,'Bottom':6,'Data':["
+    long = "x\\\\\\n\\\"" * 50000
+    rows = {(r["row"], r["col"]): r["literal"] for r in L.read_literal(_literal(spark, [head + "[1,,2],", None, "", f'["{long}" , ,DateTime(2024,1,32,0,0,0)]]', "}}"])).collect()}
+    assert rows == {(5, 1): "1", (5, 3): "2", (6, 1): f'"{long}"', (6, 3): "DateTime(2024,1,32,0,0,0)"}
+    assert L.read_literal(_literal(spark, [])).count() == 0 and L.read_literal(_literal(spark, ["no literal, at [all]"])).count() == 0
+    a, b = _literal(spark, [head + "[1,,2]]}}"]), _literal(spark, [head.replace("'Right':3", "'Right':4") + "[1,,3]]}}"])
+    got = sorted((r["row"], r["col"], r["a"][:2], r["b"][:2]) for r in L.same_literal(a, b).collect())
+    assert got == [(0, 0, '{"', '{"'), (5, 3, "2", "3")]
