@@ -33,9 +33,25 @@ def workbook_grid(part: DataFrame) -> DataFrame:
 
     Files that could not be read whole are left out.
     """
+    return _grid_text(*_workbook_cells(part))
+
+
+def workbook_text(part: DataFrame, indent: bool = True) -> DataFrame:
+    """Literal of whole workbooks from their parts, with names and bounds and sheets without data: (path, sheet_no, part, text).
+
+    Parts are as in workbook_literal. Files that could not be read whole are left out.
+    """
+    sheet, cell = _workbook_cells(part)
+    return E.workbook_literal(E.sheet_summary(sheet, cell), _grid_text(sheet, cell), indent)
+
+
+def _workbook_cells(part: DataFrame) -> tuple[DataFrame, DataFrame]:
     part = S.readable(part)
     sheet = S.read_sheets(part)
-    cell = E.decode_cells(E.resolve_strings(S.read_cells(part, sheet), S.read_shared_strings(part)))
+    return sheet, E.decode_cells(E.resolve_strings(S.read_cells(part, sheet), S.read_shared_strings(part)))
+
+
+def _grid_text(sheet: DataFrame, cell: DataFrame) -> DataFrame:
     bounds = E.sheet_bounds(sheet, cell).where("has_data")
     return E.literal_rows(E.run_literal(E.grid_runs(cell, bounds, "literal")))
 

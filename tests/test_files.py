@@ -84,6 +84,18 @@ def test_workbook(spark, landing):
     assert [r["text"] for r in workbook_grid(parts).collect()] == ['[1," s "]']
 
 
+def test_workbook_text(spark):
+    from doctables.plans.convert import workbook_text
+
+    data = G.xlsx_bytes([("S", "A1:B1", '<row r="1"><c r="A1"><v>1</v></c><c r="B1" t="s"><v>0</v></c></row>'), ("None", None, "")], [" s "])
+    part = S.unpack(spark.createDataFrame([("c.xlsx", "xlsx", len(data), data)], G.SCHEMA))
+    text = "".join(r["text"] for r in workbook_text(part, indent=False).orderBy("sheet_no", "part").collect())
+    assert text == (
+        "{'S':{'Name':'S','Left':1,'Top':1,'Right':2,'Bottom':1,'Data':[[1,\" s \"]]},"
+        "'None':{'Name':'None','Left':0,'Top':0,'Right':0,'Bottom':0,'Data':null}}"
+    )
+
+
 def test_prefixed_and_rich_workbook_parts(spark):
     """Prefixed names, rich text and a range in single quotes read like the plain form."""
     ns = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
