@@ -1,11 +1,14 @@
 """Scoring documents by prediction by partial matching over byte contexts.
 
 Training counts every byte after its context of ORDER bytes, over all training documents: a task counts its n-grams with numpy,
-Spark adds them up. Contexts of lower order are sums over the same counts. The trie is kept to a bounded number of nodes by one count
-threshold for all orders (a power of two, the least that leaves at most `nodes` nodes), and is read from the shared folder.
-A byte not seen after a context escapes to the next shorter one by method C (distinct / (total + distinct)); bytes seen there are
-excluded below. As the symbols of a context are among those of its suffix, exclusion only needs, per context, the
-sum of its suffix's counts over its own symbols. After order 0 the bytes left are equally likely.
+Spark adds them up. Contexts of lower order are sums over the same counts. A byte not seen after a context escapes to the next
+shorter one by method C (distinct / (total + distinct)); bytes seen there are excluded below. As the symbols of a context are
+among those of its suffix, exclusion only needs, per context, the sum of its suffix's counts over its own symbols. After order 0
+the bytes left are equally likely.
+
+No n-gram is dropped. The scores of the most frequent ones, of a bounded number, are read by every task from the shared folder; the
+n-grams of a text that are not among them go through a join with the scores of all, and those never seen in training through a join
+with the contexts of each order.
 
 The same pass gives the unigram score of words. Counts of words are exact: those of words that stand for more than
 a share of all tokens are read by every task, the rest go through a join.
@@ -27,13 +30,12 @@ from pyspark.sql import functions as F
 from doctables.llm import shared
 
 ORDER = 5
-#: Nodes of the trie at most, over all orders.
+#: n-grams whose scores are read by every task, at most.
 NODES = 1 << 21
 #: Words read by every task stand for more than this share of the training tokens each; so at most 1 / share.
 WORD_SHARE = 2.0**-18
 END = b"\n"  # ends a text and stands before it; words hold no blanks, so it is no byte of theirs
 BATCH_BYTES = 2 << 20
-CACHE = 1 << 21
 _HELD: dict[str, object] = {}
 
 
@@ -94,98 +96,96 @@ def counts_of(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(count, "word binary, code long, n long").groupBy("word", "code").agg(F.sum("n").alias("n"))
 
 
-def trie(counts: DataFrame, nodes: int = NODES) -> DataFrame:
-    """(ord, code, n) of the n-grams kept, for every order from 0; see the module."""
+def _mask(order: int) -> int:
+    """Bits of an n-gram's last order + 1 bytes."""
+    return (1 << 8 * (order + 1)) - 1
+
+
+def contexts_of(counts: DataFrame) -> DataFrame:
+    """(ord, ctx, total, kinds, shadow, symbols) of every context of 0 to ORDER bytes: the sum of its counts, the number of its
+    symbols, the sum of its suffix's counts over these, and the count of each."""
     grams = counts.filter("code is not null")
-    orders = F.explode(F.array(*[F.struct(F.lit(k).alias("ord"), F.col("code").bitwiseAND((1 << 8 * (k + 1)) - 1).alias("code")) for k in range(ORDER + 1)]))
+    orders = F.explode(F.array(*[F.struct(F.lit(k).alias("ord"), F.col("code").bitwiseAND(_mask(k)).alias("code")) for k in range(ORDER + 1)]))
     every = shared.written(grams.select("n", orders.alias("x")).groupBy("x.ord", "x.code").agg(F.sum("n").alias("n")), "grams")
-    sizes = every.groupBy(F.length(F.bin("n")).alias("bits")).count().collect()  # a row per power of two
-    kept, least = 0, 1
+    tail = F.lit(0)
+    for k in range(1, ORDER + 1):
+        tail = F.when(F.col("ord") == k, F.col("code").bitwiseAND(_mask(k - 1))).otherwise(tail)
+    suffix = every.select((F.col("ord") + 1).alias("ord"), F.col("code").alias("tail"), F.col("n").alias("below"))
+    return every.withColumn("tail", tail).join(suffix, ["ord", "tail"], "left").groupBy("ord", F.shiftright("code", 8).alias("ctx")).agg(
+        F.sum("n").alias("total"),
+        F.count("*").alias("kinds"),
+        F.coalesce(F.sum("below"), F.lit(0)).alias("shadow"),
+        F.map_from_entries(F.collect_list(F.struct(F.col("code").bitwiseAND(255).alias("symbol"), "n"))).alias("symbols"),
+    )
+
+
+def seen_in(contexts: DataFrame) -> DataFrame:
+    """(code, n, log): log10 probability of the last byte of every n-gram that occurs in training."""
+    last = contexts.filter(F.col("ord") == ORDER).select("ctx", (F.col("total") + F.col("kinds")).alias("all"), F.explode("symbols").alias("symbol", "n"))
+    return last.select((F.shiftleft("ctx", 8) + F.col("symbol")).alias("code"), "n", F.log10(F.col("n") / F.col("all")).alias("log"))
+
+
+def escaped(codes: DataFrame, contexts: DataFrame) -> DataFrame:
+    """(code, log): log10 probability of the last byte of each n-gram (code) after the others, whether it occurs in training or not."""
+    symbol = F.col("code").bitwiseAND(255)
+    left = codes.select("code", F.lit(0.0).alias("log"), F.lit(False).alias("done"), F.lit(0).cast("long").alias("out"), F.lit(0).cast("long").alias("gone"))
+    for k in range(ORDER, -1, -1):
+        own = contexts.filter(F.col("ord") == k).select("ctx", "total", "kinds", "shadow", "symbols")
+        if k < 2:  # at most 257 contexts: their number doesn't grow with the texts
+            own = F.broadcast(own)
+        met = left.withColumn("ctx", F.shiftright(F.col("code").bitwiseAND(_mask(k)), 8)).join(own, "ctx", "left")
+        # of the context without the symbols excluded: out and gone are their counts and their number
+        met = met.withColumn("kinds_", F.col("kinds") - F.col("gone")).withColumn("all_", F.col("total") - F.col("out") + F.col("kinds_")).withColumn("n", F.col("symbols")[symbol])
+        step = F.when(F.col("n").isNotNull(), F.log10(F.col("n") / F.col("all_"))).when(F.col("kinds_") > 0, F.log10(F.col("kinds_") / F.col("all_"))).otherwise(0.0)
+        left = met.select(
+            "code",
+            F.when(F.col("done"), F.col("log")).otherwise(F.col("log") + step).alias("log"),  # without symbols left the escape is certain
+            (F.col("done") | F.col("n").isNotNull()).alias("done"),
+            F.coalesce("shadow", F.lit(0)).alias("out"),
+            F.coalesce("kinds", F.lit(0)).alias("gone"),
+        )
+    rest = F.log10(F.greatest(F.lit(1), 256 - F.col("gone")).cast("double"))
+    return left.select("code", F.when(F.col("done"), F.col("log")).otherwise(F.col("log") - rest).alias("log"))
+
+
+def least_count(seen: DataFrame, nodes: int) -> int:
+    """The least power of two such that at most `nodes` n-grams have that count."""
+    kept = 0
+    sizes = seen.groupBy(F.length(F.bin("n")).alias("bits")).count().collect()  # a row per power of two
     for r in sorted(sizes, key=lambda r: -r.bits):
         kept += r["count"]
         if kept > nodes:
-            least = 1 << r.bits
-            break
-    return every.filter(F.col("n") >= least)
+            return 1 << r.bits
+    return 1
 
 
-class Trie:
-    """The counts by order as sorted arrays, with what each context needs for escapes."""
+class Often:
+    """Scores of the most frequent n-grams, as sorted arrays."""
 
     def __init__(self, folder: str) -> None:
         table = _table(folder)
-        order, code, n = (table[c].to_numpy() for c in ("ord", "code", "n"))
-        self.code, self.n, self.ctx, self.total, self.kinds, self.shadow = [], [], [], [], [], []
-        for k in range(ORDER + 1):
-            own = order == k
-            by = np.argsort(code[own])
-            c, m = code[own][by], n[own][by].astype(float)
-            ctx = c >> 8
-            first = np.flatnonzero(np.concatenate([[True], ctx[1:] != ctx[:-1]])) if len(c) else np.zeros(0, np.int64)
-            self.code.append(c)
-            self.n.append(m)
-            self.ctx.append(ctx[first])
-            self.total.append(np.add.reduceat(m, first) if len(c) else m)
-            self.kinds.append(np.diff(np.append(first, len(c))).astype(float))
-            below = self._count(k - 1, c & ((1 << 8 * k) - 1)) if k else np.zeros(len(c))
-            self.shadow.append(np.add.reduceat(below, first) if len(c) and k else np.zeros(len(first)))
-        self.known, self.value = np.zeros(0, np.int64), np.zeros(0)
-
-    @staticmethod
-    def _find(keys: np.ndarray, x: np.ndarray) -> np.ndarray:
-        """Position of each x in keys, or -1."""
-        if not len(keys):
-            return np.full(len(x), -1)
-        at = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
-        return np.where(keys[at] == x, at, -1)
-
-    def _count(self, k: int, code: np.ndarray) -> np.ndarray:
-        at = self._find(self.code[k], code)
-        return np.where(at >= 0, self.n[k][at] if len(self.n[k]) else 0.0, 0.0)
-
-    def log10(self, code: np.ndarray) -> np.ndarray:
-        """log10 probability of the last byte of each n-gram after the others."""
-        out = np.zeros(len(code))
-        left = np.arange(len(code))
-        shadow, gone = np.zeros(len(code)), np.zeros(len(code))  # counts and symbols excluded at this order
-        for k in range(ORDER, -1, -1):
-            if not len(left):
-                return out
-            own = code[left] & ((1 << 8 * (k + 1)) - 1)
-            at = self._find(self.ctx[k], own >> 8)
-            there = at >= 0
-            if not there.any():
-                shadow[left] = gone[left] = 0
-                continue
-            total = np.where(there, self.total[k][at] - shadow[left], 0)
-            kinds = np.where(there, self.kinds[k][at] - gone[left], 0)
-            n = np.where(there, self._count(k, own), 0)
-            with np.errstate(divide="ignore"):
-                hit = n > 0
-                out[left[hit]] += np.log10(n[hit] / (total[hit] + kinds[hit]))
-                miss = there & ~hit & (kinds > 0)  # without symbols left the escape is certain
-                out[left[miss]] += np.log10(kinds[miss] / (total[miss] + kinds[miss]))
-            shadow[left] = np.where(there, self.shadow[k][at], 0)
-            gone[left] = np.where(there, self.kinds[k][at], 0)
-            left = left[~hit]
-        if len(left):
-            out[left] -= np.log10(np.maximum(1, 256 - gone[left]))
-        return out
-
-    def scores(self, code: np.ndarray) -> np.ndarray:
-        """log10() of n-grams, remembered from batch to batch."""
+        code, log = table["code"].to_numpy(), table["log"].to_numpy()
+        by = np.argsort(code)
+        self.code, self.log = code[by], log[by]
+
+    def scores(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(score of each n-gram, 0 for the others, positions of the others)."""
+        if not len(self.code):
+            return np.zeros(len(code)), np.arange(len(code))
         inverse, own = pd.factorize(code)
-        at = self._find(self.known, own)
-        new = own[at < 0]
-        if len(new):
-            if len(self.known) + len(new) > CACHE:
-                self.known, self.value = np.zeros(0, np.int64), np.zeros(0)
-                new = own
-            known, value = np.append(self.known, new), np.append(self.value, self.log10(new))
-            by = np.argsort(known, kind="stable")
-            self.known, self.value = known[by], value[by]
-            at = np.searchsorted(self.known, own)
-        return self.value[at][inverse]
+        at = np.minimum(np.searchsorted(self.code, own), len(self.code) - 1)
+        there = self.code[at] == own
+        return np.where(there, self.log[at], 0.0)[inverse], np.flatnonzero(~there[inverse]) if not there.all() else np.zeros(0, np.int64)
+
+
+def _lists(doc: np.ndarray, code: np.ndarray, n: int) -> tuple[pa.Array, pa.Array]:
+    """Distinct codes of each of n documents, and how often each occurs there."""
+    by = np.lexsort((code, doc))
+    doc, code = doc[by], code[by]
+    first = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (code[1:] != code[:-1])])) if len(doc) else np.zeros(0, np.int64)
+    times = np.diff(np.append(first, len(doc)))
+    ends = pa.array(np.append(0, np.cumsum(np.bincount(doc[first], minlength=n))), pa.int32())
+    return pa.ListArray.from_arrays(ends, pa.array(code[first], pa.int64())), pa.ListArray.from_arrays(ends, pa.array(times, pa.int64()))
 
 
 def _table(folder: str) -> pa.Table:
@@ -212,8 +212,11 @@ def scored(docs: DataFrame, training: DataFrame, nodes: int = NODES, share: floa
     """
     spark = docs.sparkSession
     counts = shared.written(counts_of(training), "counts")
-    folder = shared.new_folder(spark, "trie")
-    trie(counts, nodes).repartition(8, "ord", "code").write.parquet(folder)
+    contexts = shared.written(contexts_of(counts), "contexts")
+    seen = seen_in(contexts)
+    least = least_count(seen, nodes)
+    folder = shared.new_folder(spark, "grams")
+    seen.filter(F.col("n") >= least).select("code", "log").repartition(8, "code").write.parquet(folder)
     words = counts.filter("word is not null").select("word", "n")
     n_all, n_words = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     half = 0.5
@@ -225,13 +228,15 @@ def scored(docs: DataFrame, training: DataFrame, nodes: int = NODES, share: floa
     base = docs.drop(*added)
 
     def score(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _held(f"trie|{folder}", lambda: Trie(folder))
+        model = _held(f"grams|{folder}", lambda: Often(folder))
         known = _held(f"words|{often}", lambda: dict(zip(*(_table(often)[c].to_pylist() for c in ("word", "n")))))
         row = TaskContext.get().partitionId() << 40
         for batch in shared.batches_of(it, "text", BATCH_BYTES):
             cut, data, ends = _flat(batch.column("text").to_pylist())
             code, sizes = codes_of(data, ends)
-            total = np.add.reduceat(model.scores(code), np.cumsum(sizes) - sizes)
+            logs, others = model.scores(code)
+            total = np.add.reduceat(logs, np.cumsum(sizes) - sizes)
+            grams, gram_times = _lists(np.searchsorted(np.cumsum(sizes), others, "right"), code[others], len(cut))
             n_known, sums, rare, times = [], [], [], []
             for w in cut:
                 w.append(b"")
@@ -248,12 +253,12 @@ def scored(docs: DataFrame, training: DataFrame, nodes: int = NODES, share: floa
                 rare.append(list(mine))
                 times.append(list(mine.values()))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(np.arange(row, row + len(cut))), pa.array([len(w) for w in cut]), pa.array(n_known, pa.int64()), pa.array(sums), pa.array(total), pa.array(rare, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int64()))],
-                [*batch.schema.names, "row_", "n_tokens", "known_", "sum_", "score", "rare_", "times_"],
+                [*batch.columns, pa.array(np.arange(row, row + len(cut))), pa.array([len(w) for w in cut]), pa.array(n_known, pa.int64()), pa.array(sums), pa.array(total), pa.array(rare, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int64())), grams, gram_times],
+                [*batch.schema.names, "row_", "n_tokens", "known_", "sum_", "log_", "rare_", "times_", "grams_", "gram_times_"],
             )
             row += len(cut)
 
-    extra = "row_ long, n_tokens long, known_ long, sum_ double, score double, rare_ array<binary>, times_ array<long>"
+    extra = "row_ long, n_tokens long, known_ long, sum_ double, log_ double, rare_ array<binary>, times_ array<long>, grams_ array<long>, gram_times_ array<long>"
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema), extra])
     first = shared.written(base.mapInArrow(score, schema).drop("text"), "scored")
     rest = first.select("row_", F.explode(F.arrays_zip("rare_", "times_")).alias("x")).select("row_", F.col("x.rare_").alias("word"), F.col("x.times_").alias("times"))
@@ -261,14 +266,18 @@ def scored(docs: DataFrame, training: DataFrame, nodes: int = NODES, share: floa
     rest = rest.join(words.filter(F.col("n") <= bound), "word", "left").groupBy("row_").agg(
         F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("more_"), F.sum(F.col("times") * F.log10((n + half) / F.lit(float(low)))).alias("add_")
     )
-    out = first.drop("rare_", "times_").join(rest, "row_", "left")
+    pairs = first.select("row_", F.explode(F.arrays_zip("grams_", "gram_times_")).alias("x")).select("row_", F.col("x.grams_").alias("code"), F.col("x.gram_times_").alias("times"))
+    codes = shared.written(pairs.select("code").distinct().join(seen.filter(F.col("n") < least).select("code", "log"), "code", "left"), "codes")
+    logs = codes.filter("log is not null").unionByName(escaped(codes.filter("log is null"), contexts))
+    grams = pairs.join(logs, "code").groupBy("row_").agg(F.sum(F.col("times") * F.col("log")).alias("gram_add_"))
+    out = first.drop("rare_", "times_", "grams_", "gram_times_").join(rest, "row_", "left").join(grams, "row_", "left")
     return out.select(
         *[c for c in base.columns if c != "text"],
         "n_tokens",
         (F.col("known_") + F.coalesce("more_", F.lit(0))).alias("n_known"),
         F.lit(n_all).cast("long").alias("train_tokens"),
         (F.col("sum_") + F.coalesce("add_", F.lit(0.0))).alias("base_score"),
-        "score",
+        (F.col("log_") + F.coalesce("gram_add_", F.lit(0.0))).alias("score"),
     )
 
 

@@ -222,6 +222,17 @@ def test_scores(odd_docs, share):
     assert ppm.scored(docs, training.limit(0)).count() == len(rows)
 
 
+@pytest.mark.parametrize("nodes", [0, 40, 1 << 21])
+def test_scores_keep_every_gram(odd_docs, nodes):
+    docs = odd_docs.filter("length(text) between 1 and 1000 and doc_id is not null").dropDuplicates(["doc_id"])
+    training = docs.filter("doc_id % 2 = 0")
+    got = {r.doc_id: r.score for r in ppm.scored(docs, training, nodes=nodes).collect()}
+    text = lambda t: b" ".join(t.encode().lower().split()) + b"\n"
+    rows = docs.collect()
+    want = plain_ppm([text(r.text) for r in rows if r.doc_id % 2 == 0], [text(r.text) for r in rows])
+    assert got == pytest.approx({r.doc_id: s for r, s in zip(rows, want)}, abs=1e-9)
+
+
 def test_quality_sql(spark):
     con = duckdb.connect()
     con.execute(f"create view documents as select * from '{SF}/documents.parquet'")
