@@ -173,9 +173,10 @@ def grid_rows(spark, sf):
 gaps AS (SELECT path, coalesce(lag("row") OVER (PARTITION BY path ORDER BY "row"), 0) + 1 AS f, "row" - 1 AS t FROM filled)
 SELECT path, 0 AS sheet_no, "row", "row" AS to_row, text FROM filled UNION ALL SELECT path, 0, f, t, '[,,,,,,,,,,]' FROM gaps WHERE f <= t""")
 def grid_runs(spark, sf):
-    cells = V.cells_hot(spark, sf)
+    # cells are numbered once for all that read them; bounds are written so that Spark knows their size and need not shuffle the cells to them
+    cells = staged(V.cells_hot(spark, sf).select("path", "sheet_no", "row", "col", "raw"), "cells")
     bounds = E.used_range(cells).withColumn("left", F.lit(1)).withColumn("top", F.lit(1)).withColumn("right", F.lit(11))
-    return E.run_literal(E.grid_runs(cells, bounds))
+    return E.run_literal(E.grid_runs(cells, staged(bounds, "bounds")))
 
 
 _GRID = views("cells", "sheets") + _DECODED + _BOUNDS + f""",

@@ -11,6 +11,8 @@ from doctables.functions import sqlfuncs
 from doctables.operators import cells as E
 from doctables.operators import sheets as X
 from doctables.operators.running import block_of
+from doctables.plans import views as V
+from doctables.plans.registry import QUERIES
 
 
 def one(spark, column, value, dtype="string"):
@@ -214,3 +216,18 @@ def test_odd_literals(spark):
     a, b = _literal(spark, [head + "[1,,2]]}}"]), _literal(spark, [head.replace("'Right':3", "'Right':4") + "[1,,3]]}}"])
     got = sorted((r["row"], r["col"], r["a"][:2], r["b"][:2]) for r in L.same_literal(a, b).collect())
     assert got == [(0, 0, '{"', '{"'), (5, 3, "2", "3")]
+
+
+def test_grid_runs_numbers_cells_once(spark, tmp_path):
+    """The rows behind the result are written cells; the line items aren't numbered again for every reader."""
+    day = datetime.datetime(2020, 1, 2)
+    rows = [(k // 3, 10 + k, k % 5, k % 3, float(k), 1.5 * k, 0.1, 0.2, "A", "F", day) for k in range(60)]
+    names = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double"
+    names += ", l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    spark.createDataFrame(rows, names).write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = QUERIES["grid_runs"](spark, str(tmp_path))
+    assert not [f for f in got.inputFiles() if "lineitem" in f]
+    cells = V.cells_hot(spark, str(tmp_path))
+    bounds = E.used_range(cells).withColumn("left", F.lit(1)).withColumn("top", F.lit(1)).withColumn("right", F.lit(11))
+    want = E.run_literal(E.grid_runs(cells, bounds)).collect()
+    assert want and sorted(map(tuple, got.collect())) == sorted(map(tuple, want))
