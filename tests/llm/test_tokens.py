@@ -31,6 +31,30 @@ def test_blanks_beside_spaces():
         assert tokens.encoder(tokens.default_path()).encode([t])[0].tolist() == tok.encode(t, add_special_tokens=False).ids
 
 
+def test_pieces_of_classes():
+    """Letters, digits, marks, apostrophes and blanks of all kinds, side by side; the cache holds words, not words with marks."""
+    import random
+
+    tok, r, enc = library(), random.Random(3), tokens.Encoder(tokens.default_path())
+    parts = [*"abZst1éßЖ×÷²½Ɂɐ҃Ҁ,._中😀\n\t\r\x0b\x1c\x85\xa0\u2028\u3000\u0301\x00", "'", "'", "re", "ll", "%%", " ", " ", " ", "  ", "<|endoftext|>", "<|"]
+    texts = ["".join(r.choices(parts, k=r.randint(0, 14))) for _ in range(5000)]
+    ids, n = enc.encode(texts)
+    want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert n.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    enc.clear()
+    enc.encode(["one two, one. two! one\ntwo one;two"])
+    assert sorted(enc.entries) == sorted([b"one", b" two", b",", b" one", b".", b"!", b"\n", b"two", b";"])
+
+
+def test_cache_keeps_frequent_pieces(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_PIECES", 100)
+    tok, enc = library(), tokens.Encoder(tokens.default_path())
+    for k in range(8):
+        text = "often " + " ".join(f"w{'abcdefghij'[i % 10] * (i // 10 + 1)}{'xyzuvwst'[k]}" for i in range(60)) + " often"
+        assert enc.encode([text])[0].tolist() == tok.encode(text, add_special_tokens=False).ids
+    assert b" often" in enc.entries and len(enc.entries) <= 170
+
+
 @pytest.mark.parametrize("bits", [1, 3, 7, 8, 11, 16, 17, 31, 32])
 def test_bits_round_trip(bits):
     ids = np.random.default_rng(bits).integers(0, 2**bits, 9999).astype(np.uint32)
