@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from doctables.operators.cells import same_grid
 from doctables.operators.running import BLOCK_ROWS, Scan, block_of, running, spread_lookup
+from doctables.sources.staging import staged
 
 #: Parts a sheet may have, and blocks of tokens a part may have, in the numbers that order them.
 SHEET_PARTS = 1 << 40
@@ -64,11 +65,14 @@ def _is_sheet() -> Column:
 
 
 def _placed(token: DataFrame) -> DataFrame:
-    """Tokens with the number of sheets and rows opened and of commas passed, up to and with the token."""
+    """Tokens with the number of sheets and rows opened and of commas passed, up to and with the token.
+
+    They are written out once: cells and sheets both read them.
+    """
     block = F.col("part") * PART_BLOCKS + block_of("i", BLOCK_ROWS)
     commas = F.when(F.startswith("token", F.lit(",")), F.length("token")).otherwise(0)
     sums = {"__sheets": _is_sheet().cast("int"), "__rows": (F.col("token") == "[").cast("int"), "__commas": commas}
-    return running(token, ["path"], ["part", "i"], block, {name: Scan("sum", value.cast("long")) for name, value in sums.items()})
+    return staged(running(token, ["path"], ["part", "i"], block, {name: Scan("sum", value.cast("long")) for name, value in sums.items()}), "placed")
 
 
 def literal_sheets(token: DataFrame) -> DataFrame:

@@ -231,16 +231,18 @@ _INSIDE = """inside AS (SELECT l.* FROM lit l JOIN bounds b ON b.path = l.path A
 @query("literal_cells", _GRID + f""", {_INSIDE} SELECT path, sheet_no, "row", col, x AS literal, CASE WHEN x[1] = '"' THEN 'text' WHEN starts_with(x, 'DateTime') THEN 'date'
   WHEN x IN ('true', 'false') THEN 'boolean' ELSE 'number' END AS kind FROM inside""")
 def literal_cells(spark, sf):
-    summary = E.sheet_summary(V.sheets(spark, sf), V.cells(spark, sf))
-    texts = E.workbook_literal(summary, _lines(spark, sf), indent=True, rows_per_part=64)
+    cells = staged(E.decode_cells(V.cells(spark, sf)), "cells")  # read for the summary, the bounds and the rows
+    summary = E.sheet_summary(V.sheets(spark, sf), cells)
+    bounds = E.sheet_bounds(V.sheets(spark, sf), cells).where("has_data")
+    texts = E.workbook_literal(summary, E.grid_literal(E.grid_rows(cells, bounds, "literal")), indent=True, rows_per_part=64)
     return L.read_literal(staged(L.literal_tokens(L.in_order(texts)), "tokens")).drop("raw")
 
 
 @query("same_literal", _GRID + f""", {_INSIDE} SELECT path, sheet_no, "row", col, x AS a, CASE WHEN "row" % 5 = 2 THEN '"other"' END AS b FROM inside WHERE "row" % 5 = 2 OR "row" % 7 = 3""")
 def same_literal(spark, sf):
-    cells = E.decode_cells(V.cells(spark, sf))
-    bounds = E.sheet_bounds(V.sheets(spark, sf), cells)
-    summary = E.sheet_summary(V.sheets(spark, sf), cells)
+    cells = staged(E.decode_cells(V.cells(spark, sf)), "cells")  # read for the bounds, the summary and both texts
+    bounds = staged(E.sheet_bounds(V.sheets(spark, sf), cells), "bounds")
+    summary = staged(E.sheet_summary(V.sheets(spark, sf), cells), "summary")
     other = F.when(F.col("row") % 5 == 2, F.lit('"other"')).otherwise(F.col("literal"))
     changed = cells.withColumn("literal", other).where("row % 5 = 2 OR row % 7 <> 3")
 

@@ -205,6 +205,18 @@ def test_literal_is_read_back(spark):
     assert L.same_literal(indented, compact).count() == 0
 
 
+def test_places_of_tokens_are_summed_once(spark):
+    """Cells and sheets read the places of tokens; summing them again for each of the two is most of the work."""
+    from doctables.operators import literals as L
+
+    token = _literal(spark, ["{'S':{'Name':'S','Left':1,'Top':1,'Right':2,'Bottom':1,'Data':[[1,2]]}}"])
+    cells = L.read_literal(token)
+    assert {(r["row"], r["col"], r["literal"]) for r in cells.collect()} == {(1, 1, "1"), (1, 2, "2")}
+    plan = cells._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") == 1  # where a row was opened
+    assert "posexplode" not in plan
+
+
 def test_odd_literals(spark):
     from doctables.operators import literals as L
 
