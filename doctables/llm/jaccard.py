@@ -49,6 +49,16 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def repeats(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Values that occur twice or more in the arrays, ascending, and how often; empties the list, so that values are held once or twice."""
+    h = np.concatenate(held)
+    held.clear()
+    h.sort()
+    edge = np.diff(np.concatenate([[False], h[1:] == h[:-1], [False]]).view(np.int8))
+    first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    return h[first], last - first + 1
+
+
 def shingle_sets(texts: list[str | None], k: int = SHINGLE) -> list[np.ndarray]:
     """Sorted distinct 64-bit hashes of each text's k-word shingles; the whole sequence when it has fewer words."""
     from xxhash import xxh3_64_intdigest
@@ -109,8 +119,7 @@ def often(docs: DataFrame, share: float = OFTEN_SHARE) -> np.ndarray:
         held, n = [], 0
 
         def repeated():
-            h, c = np.unique(np.concatenate(held), return_counts=True)
-            h, c = h[c > 1], c[c > 1]
+            h, c = repeats(held)
             return pa.RecordBatch.from_pydict({"shingle": np.append(h.view(np.int64), 0), "n": np.append(c, n), "all": np.append(np.zeros(len(h), bool), True)})
 
         for batch in shared.batches_of(it, "text", BATCH_BYTES):
@@ -119,7 +128,7 @@ def often(docs: DataFrame, share: float = OFTEN_SHARE) -> np.ndarray:
             n += sum(map(len, sets))
             if n > flush:
                 yield repeated()
-                held, n = [], 0
+                n = 0
         if held:
             yield repeated()
 

@@ -79,7 +79,11 @@ def posteriors(emit: np.ndarray, start: np.ndarray, trans: np.ndarray) -> tuple[
     n, k = emit.shape
     blocks = -(-n // BLOCK)
     e = np.ones((blocks * BLOCK, k))
-    e[:n] = np.exp(np.maximum(emit - emit.max(1, keepdims=True), -30))
+    # one array of this size after the other is let go of: they are most of what a worker holds
+    np.subtract(emit, emit.max(1, keepdims=True), out=e[:n])
+    del emit
+    np.maximum(e[:n], -30, out=e[:n])
+    np.exp(e[:n], out=e[:n])
     s = np.ones(blocks * BLOCK, bool)
     s[:n] = start
     e, s = e.reshape(blocks, BLOCK, k), s.reshape(blocks, BLOCK)
@@ -111,8 +115,10 @@ def posteriors(emit: np.ndarray, start: np.ndarray, trans: np.ndarray) -> tuple[
         gamma[:, t] = alpha[:, t] * m
         m = np.where(s[:, t, None], 1.0, (e[:, t] * m) @ a.T)
         m = m / m.sum(1, keepdims=True)
+    del e
     gamma = gamma.reshape(-1, k)[:n]
-    return gamma / gamma.sum(1, keepdims=True), alpha.reshape(-1, k)[:n]
+    gamma /= gamma.sum(1, keepdims=True)
+    return gamma, alpha.reshape(-1, k)[:n]
 
 
 def train(sequences: list[list[bytes]], labels: list[np.ndarray], k: int, epochs: int = 6, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
@@ -243,7 +249,8 @@ def identified(docs: DataFrame, model: Model) -> DataFrame:
                 begin = np.cumsum(size) - size
                 start = np.zeros(len(row), bool)
                 start[begin] = True
-                post = posteriors(cache.rows[row], start, trans)[0] * cache.letters[row][:, None]
+                post = posteriors(cache.rows[row], start, trans)[0]
+                post *= cache.letters[row][:, None]
                 total = np.add.reduceat(post, begin, axis=0)
                 best = total.argmax(1)
                 score[real] = np.clip(total.max(1) / np.maximum(total.sum(1), 1e-300), 0, 1)

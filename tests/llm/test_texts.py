@@ -131,6 +131,27 @@ def test_components_of_a_chain(spark):
     assert got == {(i, 0) for i in range(61)} | {(100, 100), (101, 100)}
 
 
+def test_repeats_are_counted_in_place():
+    rng = np.random.default_rng(4)
+    for sizes in ([0], [1], [0, 3, 0], [900, 50, 1]):
+        held = [rng.integers(0, 300, n).astype(np.uint64) << np.uint64(55) for n in sizes]
+        h, c = np.unique(np.concatenate(held), return_counts=True)
+        found, count = jaccard.repeats(held)
+        assert held == [] and np.array_equal(found, h[c > 1]) and np.array_equal(count, c[c > 1])
+
+
+def test_forward_backward_holds_few_arrays():
+    import tracemalloc
+
+    n, k = 200_000, 8
+    emit, start = np.zeros((n, k)), np.zeros(n, bool)
+    tracemalloc.start()
+    langid.posteriors(emit, start, np.zeros((k, k)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * emit.nbytes
+
+
 def test_forward_backward_is_plain():
     rng = np.random.default_rng(0)
     k, n = 3, 500
