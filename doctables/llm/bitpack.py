@@ -152,6 +152,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int, files:
             writer.close()
             out.close()
             yield pa.RecordBatch.from_pydict({"part": [task.partitionId()], "file": [f"{folder}/{name}"], "n_ids": [writer.n]})
+        shared.trim()
 
     return ordered.mapInArrow(write, "part long, file string, n_ids long")
 

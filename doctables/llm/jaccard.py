@@ -116,6 +116,7 @@ def often(docs: DataFrame, share: float = OFTEN_SHARE) -> np.ndarray:
     flush = 4_000_000
 
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared.let_go()
         held, n = [], 0
 
         def repeated():
@@ -149,6 +150,7 @@ def sketches(docs: DataFrame, frequent: np.ndarray, num: int, den: int) -> DataF
     def sketch(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
 
+        shared.let_go()
         late = np.frombuffer(last.value, np.uint64)
         for batch in shared.batches_of(it, "text", BATCH_BYTES):
             rows: dict[str, list] = {c: [] for c in ("doc_id", "n", "key", "prefix_key", "prefix", "bits")}
@@ -317,6 +319,7 @@ def _across(mixed: DataFrame, parts: DataFrame, num: int, den: int, stretch: int
     tiles = held.unionByName(probes).join(parts, ["gid", "part"])
 
     def compare(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared.let_go()
         rest = None  # held rows of the tile that the last batch ended in
         for batch in it:
             if not batch.num_rows:
@@ -374,6 +377,7 @@ def verified(pairs: DataFrame, docs: DataFrame, num: int, den: int) -> DataFrame
     texts = shared.written(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), "pair-texts")
 
     def check(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared.let_go()
         held: dict[int, np.ndarray] = {}
         for batch in it:
             for part in shared.batches_of(iter([batch]), "text_a", BATCH_BYTES):

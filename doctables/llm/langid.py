@@ -26,7 +26,6 @@ BATCH_BYTES = 2 << 20
 BLOCK = 128
 CACHE = 400_000
 _LETTER = re.compile(r"[A-Za-z]")
-_CACHES: dict[str, "Emissions"] = {}
 
 
 def has_letter(text: str) -> bool:
@@ -234,10 +233,7 @@ def identified(docs: DataFrame, model: Model) -> DataFrame:
     own = uuid.uuid4().hex
 
     def identify(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _CACHES.get(own)
-        if cache is None:
-            _CACHES.clear()
-            cache = _CACHES[own] = Emissions(held.value)
+        cache = shared.held(own, lambda: Emissions(held.value))
         for batch in shared.batches_of(it, "text", BATCH_BYTES):
             texts = batch.column("text").to_pylist()
             real = [i for i, t in enumerate(texts) if labels and t and has_letter(t)]
@@ -257,6 +253,7 @@ def identified(docs: DataFrame, model: Model) -> DataFrame:
                 for i, b in zip(real, best):
                     lang[i] = labels[b]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang), pa.array(score)], [*batch.schema.names, "lang_pred", "score"])
+        shared.trim()
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema), "lang_pred string, score double"])
     return base.mapInArrow(identify, schema)

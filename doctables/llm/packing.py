@@ -57,6 +57,7 @@ def cut_pieces(docs: DataFrame, size: int, tokenizer: str, end_id: int) -> DataF
             rank += seen[length]
             seen += np.bincount(length, minlength=size + 1)
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id").take(pa.array(doc)).cast(pa.int64()), "piece": piece.astype(np.int32), "start": start, "length": length, "ids_crc32": np.array(crc, np.int64), "task": np.full(len(doc), task), "rank": rank})
+        shared.trim()
 
     return docs.select("doc_id", "text").mapInArrow(cut, PIECE + ", task long, rank long")
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL: dict[str, str] = {}
+_HELD: dict[str, object] = {}
 #: Separators of words: space and the ASCII control blanks. `bytes.split()` cuts at the same ones.
 BLANKS = "\\x20\\x09-\\x0D"
 
@@ -67,6 +69,28 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def trim() -> None:
+    """Give memory that a worker no longer uses back to the system; workers wait for their next task with what they keep."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def let_go() -> None:
+    """Drop what the worker holds for an operator that ran before."""
+    if _HELD:
+        _HELD.clear()
+        trim()
+
+
+def held(key: str, make: Callable[[], object]):
+    """What a worker keeps between the tasks of an operator; one thing at a time, as workers serve one operator after the other."""
+    if key not in _HELD:
+        let_go()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 def words(text: Column) -> Column:
     """Words `[^\\x20\\x09-\\x0D]+` of a text; no words for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"[{BLANKS}]+"), "")

@@ -12,6 +12,8 @@ import os
 
 import numpy as np
 
+from doctables.llm import shared
+
 #: Pieces a worker remembers at most, beyond those of one batch.
 CACHE_PIECES = 400_000
 _LETTER, _DIGIT, _MARK, _SPACE, _BLANK, _OTHER = 1, 2, 3, 4, 5, 6
@@ -21,7 +23,6 @@ _CLASS[9:14] = _BLANK
 _CLASS[32] = _SPACE
 _CLASS[48:58] = _DIGIT
 _CLASS[65:91] = _CLASS[97:123] = _LETTER
-_ENCODERS: dict[str, "Encoder"] = {}
 
 
 def default_path() -> str:
@@ -32,9 +33,7 @@ def default_path() -> str:
 
 def encoder(path: str) -> "Encoder":
     """The worker's encoder for a vocabulary file; kept between tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    return shared.held(path, lambda: Encoder(path))
 
 
 def cuts(data: np.ndarray) -> np.ndarray:

@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from doctables.llm import bitpack, packing, tokens
+from doctables.llm import bitpack, packing, shared, tokens
 
 
 def library():
@@ -55,6 +55,20 @@ def test_cache_keeps_frequent_pieces(monkeypatch):
     assert b" often" in enc.entries and len(enc.entries) <= 170
 
 
+def test_worker_holds_one_cache():
+    """A worker that turns to another operator lets the encoder and its pieces go."""
+    import gc
+
+    enc = tokens.encoder(tokens.default_path())
+    assert tokens.encoder(tokens.default_path()) is enc
+    del enc
+    gc.collect()
+    shared.held("a language model", dict)
+    assert not any(isinstance(x, tokens.Encoder) for x in gc.get_objects())
+    shared.let_go()
+    assert not shared._HELD
+
+
 @pytest.mark.parametrize("bits", [1, 3, 7, 8, 11, 16, 17, 31, 32])
 def test_bits_round_trip(bits):
     ids = np.random.default_rng(bits).integers(0, 2**bits, 9999).astype(np.uint32)
