@@ -161,7 +161,9 @@ def sample(docs: DataFrame, per_lang: int, width: int) -> DataFrame:
     n = keyed.groupBy("lang").agg(F.count("*").alias("n"))
     share = keyed.join(n, "lang").filter(F.pmod("h", F.lit(1 << 20)) * F.col("n") <= F.lit(float(3 * per_lang + 64)) * (1 << 20))
     chosen = share.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).filter(F.col("r") <= per_lang)
-    cut = docs.join(chosen.select("doc_id", "h"), "doc_id").select("doc_id", "lang", "h", shared.words(F.lower("text")).alias("w"))
+    # Written, so that Spark knows how few they are and does not shuffle all texts to meet them.
+    chosen = shared.written(chosen.select("doc_id", "h"), "sample")
+    cut = docs.join(chosen, "doc_id").select("doc_id", "lang", "h", shared.words(F.lower("text")).alias("w"))
     place = F.pmod(F.shiftright("h", 20), F.greatest(F.lit(1), F.size("w") - width + 1)).cast("int") + 1
     return cut.filter(F.size("w") > 0).select("doc_id", "lang", F.slice("w", place, width).alias("words")).orderBy("doc_id")
 
