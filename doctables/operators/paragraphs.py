@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from doctables.functions import text as M
 from doctables.operators.running import BLOCK_ROWS, LevelScan, Scan, block_of, running, running_levels, spread_lookup
 
+#: Runs that are joined before they are shuffled, at most.
+STRETCH_RUNS = 1024
+
 
 def render_runs(run: DataFrame, text: str = "text") -> DataFrame:
     """Add ``md``, the text of each run inside its format marks.
@@ -31,14 +39,66 @@ def render_links(run: DataFrame, link: DataFrame, md: str = "md") -> DataFrame:
     ).drop("target")
 
 
+def _stretches(run: DataFrame, md: str) -> DataFrame:
+    """Runs that follow each other, joined: (path, para_pos, first, last, md, ends of the runs' bytes in md).
+
+    Runs come in order where a text was just cut into them, so most of a paragraph becomes a row or a few before any shuffle.
+    A stretch lies within an Arrow batch and has at most STRETCH_RUNS runs; a run without a next one stays alone, without ends.
+    """
+    rows = run.select("path", "para_pos", "run_pos", F.col(md).alias("md"))
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            path, para, pos, text = batch.columns
+            text = pc.fill_null(text, "")
+            number = pos.cast(pa.int64())
+            before, after = number.slice(0, n - 1), number.slice(1)
+            goes_on = pc.and_(pc.equal(after, pc.add(before, 1)), pc.greater(after, before))
+            for key in (path, para):
+                goes_on = pc.and_(goes_on, pc.equal(key.slice(0, n - 1), key.slice(1)))
+            new = np.arange(n) % STRETCH_RUNS == 0
+            new[1:] |= ~pc.fill_null(goes_on, False).to_numpy(zero_copy_only=False)
+            begin = np.flatnonzero(new)
+            runs = np.diff(np.append(begin, n))
+            bounds, data = text.buffers()[1:]
+            bounds = np.frombuffer(bounds, np.int32)[text.offset : text.offset + n + 1]
+            joined = pa.StringArray.from_buffers(len(begin), pa.py_buffer(np.append(bounds[begin], bounds[n])), data)
+            ends = pa.array(bounds[1:] - np.repeat(bounds[begin], runs))
+            ends = pa.ListArray.from_arrays(pa.array(np.append(begin, n).astype(np.int32)), ends, mask=pa.array(runs == 1))
+            first, last = (number.take(pa.array(i)) for i in (begin, begin + runs - 1))
+            at = pa.array(begin)
+            yield pa.RecordBatch.from_arrays([path.take(at), para.take(at), first, last, joined, ends], ["path", "para_pos", "first", "last", "md", "ends"])
+
+    types = {f.name: f.dataType.simpleString() for f in rows.schema}
+    return rows.mapInArrow(join, f"path {types['path']}, para_pos {types['para_pos']}, first bigint, last bigint, md string, ends array<int>")
+
+
 def paragraph_text(run: DataFrame, md: str = "md") -> DataFrame:
-    """Text of each paragraph: its runs in order. A paragraph's text is one value."""
-    pieces = F.sort_array(F.collect_list(F.struct(F.col("run_pos"), F.col(md).alias("md"))))
-    return (
-        run.groupBy("path", F.col("para_pos").alias("pos"))
-        .agg(pieces.alias("p"))
-        .select("path", "pos", F.array_join(F.transform("p", lambda x: x["md"]), "").alias("md"))
-    )
+    """Text of each paragraph: its runs in order. A paragraph's text is one value.
+
+    Stretches of runs that lie apart stand one after the other; where they overlap, they are cut into their runs again.
+    """
+    stretch = F.struct("first", "last", "md", "ends")
+    whole = _stretches(run, md).groupBy("path", F.col("para_pos").alias("pos")).agg(F.sort_array(F.collect_list(stretch)).alias("p"))
+
+    def meets(x: Column, i: Column) -> Column:
+        after = F.get("p", i + 1)
+        return F.coalesce((after["first"] <= x["last"]) & (x["ends"].isNotNull() | after["ends"].isNotNull()), F.lit(False))
+
+    def cut(x: Column) -> Column:
+        begin = lambda i: F.coalesce(F.get(x["ends"], i - 1), F.lit(0))
+        piece = lambda end, i: F.struct(
+            (x["first"] + i).alias("first"), F.substring(x["md"].cast("binary"), begin(i) + 1, end - begin(i)).cast("string").alias("md")
+        )
+        return F.when(x["ends"].isNull(), F.array(F.struct(x["first"].alias("first"), x["md"].alias("md")))).otherwise(F.transform(x["ends"], piece))
+
+    text = lambda c: F.array_join(F.transform(c, lambda x: x["md"]), "")
+    overlap = F.size(F.filter("p", meets)) > 0
+    md = F.when(overlap, text(F.sort_array(F.flatten(F.transform("p", cut))))).otherwise(text(F.col("p")))
+    return whole.select("path", "pos", md.alias("md"))
 
 
 def sections(paragraph: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
