@@ -212,7 +212,7 @@ def test_places_of_tokens_are_summed_once(spark):
     token = _literal(spark, ["{'S':{'Name':'S','Left':1,'Top':1,'Right':2,'Bottom':1,'Data':[[1,2]]}}"])
     cells = L.read_literal(token)
     assert {(r["row"], r["col"], r["literal"]) for r in cells.collect()} == {(1, 1, "1"), (1, 2, "2")}
-    plan = cells._jdf.queryExecution().optimizedPlan().toString()
+    plan = cells._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("Window") == 1  # where a row was opened
     assert "posexplode" not in plan
 
@@ -243,3 +243,21 @@ def test_grid_runs_numbers_cells_once(spark, tmp_path):
     bounds = E.used_range(cells).withColumn("left", F.lit(1)).withColumn("top", F.lit(1)).withColumn("right", F.lit(11))
     want = E.run_literal(E.grid_runs(cells, bounds)).collect()
     assert want and sorted(map(tuple, got.collect())) == sorted(map(tuple, want))
+
+
+def test_grid_rows_of_odd_cells(spark):
+    """Repeated positions, cells beyond the bounds or without a column, and rows without cells."""
+    rows = [("p", 0, 1, c, x) for c, x in [(2, "b"), (2, "a"), (2, None), (4, "d"), (9, "far"), (0, "near"), (None, "lost")]]
+    rows += [("p", 0, 2, c, x) for c, x in [(1, "a"), (2, None), (3, "c"), (4, "d"), (4, "d"), (5, "e")]] + [("p", 0, 3, None, "lost")]
+    cell = spark.createDataFrame(rows, "path string, sheet_no int, row int, col int, raw string")
+    bounds = spark.createDataFrame([("p", 0, 2, 1, 5, 4)], "path string, sheet_no int, left int, top int, right int, bottom int")
+    got = {r.row: r["values"] for r in E.grid_rows(cell, bounds).collect()}
+    assert got == {1: ["b", None, "d", None], 2: [None, "c", "d", "e"], 3: [None] * 4, 4: [None] * 4}
+
+
+def test_bounds_make_no_texts(spark, tmp_path):
+    """Bounds of the line items' cells read no column that only texts need."""
+    types = ["bigint"] * 3 + ["int"] + ["double"] * 4 + ["string"] * 2 + ["date"]
+    spark.sql("SELECT " + ", ".join(f"CAST(1 AS {t}) AS {c}" if t != "date" else f"DATE '2000-01-01' AS {c}" for c, t in zip(V.LINE_COLUMNS, types))).write.parquet(f"{tmp_path}/lineitem.parquet")
+    plan = E.used_range(V.cells_hot(spark, str(tmp_path)))._jdf.queryExecution().sparkPlan().toString()
+    assert "l_orderkey" in plan and "l_shipdate" not in plan and "l_tax" not in plan
