@@ -25,6 +25,7 @@ SAMPLE_WORDS = 48
 BATCH_BYTES = 2 << 20
 BLOCK = 128
 CACHE = 400_000
+CHUNK = 8192
 _LETTER = re.compile(r"[A-Za-z]")
 
 
@@ -217,7 +218,9 @@ class Emissions:
             a, b = len(self.index), len(self.index) + len(new)
             while b > len(self.rows):
                 self.rows, self.letters = np.concatenate([self.rows, np.zeros_like(self.rows)]), np.concatenate([self.letters, np.zeros_like(self.letters)])
-            self.rows[a:b] = _sums(self.weights, *features(new))
+            for at in range(0, len(new), CHUNK):  # the arrays of all features are many times the words
+                own = new[at : at + CHUNK]
+                self.rows[a + at : a + at + len(own)] = _sums(self.weights, *features(own))
             self.letters[a:b] = [w.isalpha() or has_letter(w.decode("utf-8", "surrogatepass")) for w in new]
             self.index.update(zip(new, range(a, b)))
         return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))

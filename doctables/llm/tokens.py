@@ -16,6 +16,8 @@ from doctables.llm import shared
 
 #: Pieces a worker remembers at most, beyond those of one batch.
 CACHE_PIECES = 400_000
+#: Pieces that go to the library at a time.
+CHUNK = 8192
 _LETTER, _DIGIT, _MARK, _SPACE, _BLANK, _OTHER = 1, 2, 3, 4, 5, 6
 _CLASS = np.full(256, _OTHER, np.uint8)  # bytes beyond ASCII, and the blanks that are not ASCII, are of no known class
 _CLASS[:128] = _MARK
@@ -98,13 +100,14 @@ class Encoder:
         for p in new:
             t = p.decode("utf-8", "surrogatepass")
             (led if t[0] == " " and not t[-1].isspace() else rest).append((p, t))
-        ids = np.array(self._encode(["".join(t for _, t in led)])[0], np.uint32)
+        chunks = lambda x: (x[at : at + CHUNK] for at in range(0, len(x), CHUNK))  # noqa: E731  # the library's results are many times the ids
+        ids = np.concatenate([np.zeros(0, np.uint32), *(np.array(self._encode(["".join(t for _, t in own)])[0], np.uint32) for own in chunks(led))])
         ends = np.cumsum(np.array([len(p) for p, _ in led], np.int64))
         at = np.cumsum(self.bytes_of[ids])
         upto = np.searchsorted(at, ends) + 1
         if len(led) and not np.array_equal(at[upto - 1], ends):
             raise ValueError("the tokenizer merges over a space")
-        found = self._encode([t for _, t in rest])
+        found = [f for own in chunks(rest) for f in self._encode([t for _, t in own])]
         size = np.concatenate([np.diff(upto, prepend=0), np.array([len(f) for f in found], np.int64)])
         n = len(self.entries)
         self.entries.update(zip((p for p, _ in led + rest), range(n, n + len(new))))
