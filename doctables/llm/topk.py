@@ -1,8 +1,9 @@
 """Exact top-k by inner product: tiles of queries times shards of vectors.
 
-Vectors are floor(scale * x) as whole numbers, so products are exact in doubles. Rows are dealt into shards and queries into tiles of set
-sizes. A task multiplies a shard with one tile at a time and keeps each query's k best; the lists are then merged twice, first over a few
-groups of shards, then over those.
+Vectors are floor(scale * x) as whole numbers, so products are exact in doubles. Rows are dealt into parts of some shards, queries into
+tiles of a set size, which are written to the shared folder. A task holds one part and reads one tile after the other: each shard is
+multiplied with the tile, and of each query's best of every shard the k best of the part go on. The parts' lists are merged at the end.
+Nothing that grows with the product of rows and queries is broadcast, and vectors are dealt out once.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,7 +20,9 @@ from doctables.llm import shared
 
 SHARD_ROWS = 8192
 TILE_ROWS = 512
+#: Shards of a part at most, and bytes of its numbers.
 FAN_IN = 16
+PART_BYTES = 32 << 20
 
 
 def _whole(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -28,20 +32,50 @@ def _whole(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return vectors.select(F.col(id_col).cast("long").alias("id"), v.alias("v")).filter(ok & F.col("id").isNotNull())
 
 
-def _blocks(rows: DataFrame, key: str, scale: int) -> DataFrame:
-    """A row per block: ids, dims and the rows' numbers, padded to the longest. A block's rows are gathered by its key."""
+def _matrix(batches: list[pa.RecordBatch], scale: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, dims and numbers of rows (id, v), padded to the longest."""
+    table = pa.Table.from_batches(batches)
+    ids, lists = table.column("id").to_numpy(), table.column("v").combine_chunks()
+    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    dims = lists.value_lengths().to_numpy().astype(np.int64)
+    flat = np.floor(scale * lists.flatten().to_numpy().astype(np.float64))
+    m = np.zeros((len(ids), max(1, int(dims.max()))))
+    m[np.repeat(np.arange(len(ids)), dims), np.arange(len(flat)) - np.repeat(np.cumsum(dims) - dims, dims)] = flat
+    return ids, dims, m
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches)).combine_chunks()
-        ids, lists = table.column("id").to_numpy(), table.column("v").combine_chunks()
-        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-        dims = lists.value_lengths().to_numpy().astype(np.int64)
-        flat = np.floor(scale * lists.flatten().to_numpy().astype(np.float64))
-        m = np.zeros((len(ids), max(1, int(dims.max()))))
-        m[np.repeat(np.arange(len(ids)), dims), np.arange(len(flat)) - np.repeat(np.cumsum(dims) - dims, dims)] = flat
-        yield pa.RecordBatch.from_pydict({key: table.column(key)[:1].combine_chunks(), "ids": [ids.tobytes()], "dims": [dims.tobytes()], "m": [m.tobytes()]})
 
-    return rows.groupBy(key).applyInArrow(lambda t: pa.Table.from_batches(list(pack(iter(t.to_batches())))), f"{key} long, ids binary, dims binary, m binary")
+def _cut(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches regrouped to lists of so many rows."""
+    held, n = [], 0
+    for batch in batches:
+        at = 0
+        while at < batch.num_rows:
+            held.append(batch.slice(at, rows - n))
+            at, n = at + held[-1].num_rows, n + held[-1].num_rows
+            if n == rows:
+                yield held
+                held, n = [], 0
+    if held:
+        yield held
+
+
+def _tiles(rows: DataFrame, scale: int) -> list[str]:
+    """Files with a row per tile: ids, dims and the rows' numbers. A tile's rows are gathered by its key."""
+
+    def pack(table: pa.Table) -> pa.Table:
+        return pa.table({c: [x.tobytes()] for c, x in zip(("ids", "dims", "m"), _matrix(table.to_batches(), scale))})
+
+    return shared.written(rows.groupBy("tile").applyInArrow(pack, "ids binary, dims binary, m binary"), "tiles").inputFiles()
+
+
+def _read_tiles(files: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Ids, dims and numbers of each tile, one at a time."""
+    for file in files:
+        where, path = shared.file_system(file)
+        with where.open_input_file(path) as f:
+            for batch in pq.ParquetFile(f, buffer_size=1 << 20).iter_batches(batch_size=1):
+                ids, dims, m = (np.frombuffer(batch.column(c)[0].as_buffer(), t) for c, t in (("ids", np.int64), ("dims", np.int64), ("m", np.float64)))
+                yield ids, dims, m.reshape(len(ids), -1)
 
 
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> list[np.ndarray]:
@@ -68,37 +102,38 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256,
     spark = vectors.sparkSession
     rows = _whole(vectors, id_col, vec_col)
     asked = _whole(queries, id_col, vec_col).dropDuplicates(["id", "v"])
-    n, q = rows.count(), asked.count()
-    n_shards, n_tiles = -(-n // SHARD_ROWS) or 1, -(-q // TILE_ROWS) or 1
-    spread = lambda m: F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(m))  # noqa: E731  rows of one vector or id too
-    shards = shared.written(_blocks(rows.withColumn("shard", spread(n_shards)), "shard", scale), "shards")
-    tiles = shared.written(_blocks(asked.withColumn("tile", F.pmod(F.xxhash64("id", "v"), F.lit(n_tiles))), "tile", scale), "tiles")
-    sent = tiles.select("tile", *[F.col(c).alias(f"q_{c}") for c in ("ids", "dims", "m")], F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_shards - 1).cast("long"))).alias("shard"))
-
-    def multiply(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            for i in range(batch.num_rows):
-                get = lambda c, t: np.frombuffer(batch.column(c)[i].as_py(), t)  # noqa: E731,B023
-                ids, qids, dims, qdims = (get(c, np.int64) for c in ("ids", "q_ids", "dims", "q_dims"))
-                m, qm = get("m", np.float64).reshape(len(ids), -1), get("q_m", np.float64).reshape(len(qids), -1)
-                d = min(m.shape[1], qm.shape[1])
-                m, qm = m[:, :d], qm[:, :d]
-                top = np.abs(m).max(initial=0) * np.abs(qm).max(initial=0) * d
-                exact = qm @ m.T if top < 2.0**53 else qm.astype(np.int64) @ m.astype(np.int64).T
-                out = (qdims[:, None] != dims) | (qids[:, None] == ids)
-                scores = np.where(out, -np.inf, exact)
-                found = best(scores, ids, k)
-                size = [len(x) for x in found]
-                row, col = np.repeat(np.arange(len(found)), size), np.concatenate(found).astype(np.int64)
-                yield pa.RecordBatch.from_pydict({"query_id": qids[row], "vec_id": ids[col], "score": exact[row, col].astype(np.int64), "shard": pa.array([batch.column("shard")[i].as_py()] * len(row), pa.int64())})
-
-    found = shards.join(sent, "shard").select("shard", "ids", "dims", "m", "q_ids", "q_dims", "q_m").mapInArrow(multiply, "query_id long, vec_id long, score long, shard long")
-    order = [F.desc("score"), F.asc("vec_id")]
-    level = found.withColumn("part", F.floor(F.col("shard") / FAN_IN))
-    once = Window.partitionBy("query_id", "part").orderBy(*order)
-    level = level.withColumn("rank", F.row_number().over(once)).filter(F.col("rank") <= k)
-    last = Window.partitionBy("query_id").orderBy(*order)
-    return level.withColumn("rank", F.row_number().over(last)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    n, longest = rows.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
+    part_rows = max(1, min(FAN_IN * SHARD_ROWS, PART_BYTES // (8 * max(1, longest))))
+    shard_rows = min(SHARD_ROWS, part_rows)
+    n_parts = max(-(-n // part_rows), min(-(-n // shard_rows), 2 * shared.partitions(spark))) or 1
+    n_tiles = -(-asked.count() // TILE_ROWS) or 1
+    files = _tiles(asked.withColumn("tile", F.pmod(F.xxhash64("id", "v"), F.lit(n_tiles))), scale)
+
+    def products(shard: tuple[np.ndarray, ...], tile: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+        """Row of the tile, id and score of each query's best of a shard."""
+        (ids, dims, m), (qids, qdims, qm) = shard, tile
+        d = min(m.shape[1], qm.shape[1])
+        m, qm = m[:, :d], qm[:, :d]
+        top = np.abs(m).max(initial=0) * np.abs(qm).max(initial=0) * d
+        exact = qm @ m.T if top < 2.0**53 else qm.astype(np.int64) @ m.astype(np.int64).T
+        out = (qdims[:, None] != dims) | (qids[:, None] == ids)
+        found = best(np.where(out, -np.inf, exact), ids, k)
+        row, col = np.repeat(np.arange(len(found)), [len(x) for x in found]), np.concatenate(found).astype(np.int64)
+        return row, ids[col], exact[row, col].astype(np.int64)
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shards = [_matrix(x, scale) for x in _cut(batches, shard_rows)]
+        for tile in _read_tiles(files):
+            row, ids, scores = (np.concatenate(x) for x in zip(*(products(shard, tile) for shard in shards)))
+            order = np.lexsort((ids, -scores, row))
+            row = row[order]
+            keep = np.arange(len(row)) - np.searchsorted(row, row) < k  # places among a query's rows
+            yield pa.RecordBatch.from_pydict({"query_id": tile[0][row[keep]], "vec_id": ids[order][keep], "score": scores[order][keep]})
+
+    spread = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n_parts))  # rows of one vector or id too
+    found = rows.select("id", "v", spread.alias("part")).groupBy("part").applyInArrow(multiply, "query_id long, vec_id long, score long")
+    last = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
+    return found.withColumn("rank", F.row_number().over(last)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op7_exact_top_k(spark, sf_dir):

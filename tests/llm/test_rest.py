@@ -82,6 +82,24 @@ def test_top_k(spark, monkeypatch):
     assert topk.top_k(vectors.limit(0), vectors.limit(0)).count() == 0
 
 
+def test_top_k_sends_no_tile_to_every_shard(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD_ROWS", 8)
+    monkeypatch.setattr(topk, "TILE_ROWS", 4)
+    monkeypatch.setattr(topk, "FAN_IN", 3)
+    rng = random.Random(7)
+    rows = [(i, [float(rng.randint(-3, 3)) / 256 for _ in range(3)]) for i in range(500)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    top = topk.top_k(vectors, vectors.filter("vec_id % 25 = 0"))
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "BroadcastExchange" not in plan
+    whole = {i: [int(256 * x) for x in v] for i, v in rows}
+    want = []
+    for q in range(0, 500, 25):
+        s = sorted((-sum(a * b for a, b in zip(whole[q], w)), i) for i, w in whole.items() if i != q)
+        want += [(q, n + 1, i, -x) for n, (x, i) in enumerate(s[:5])]
+    assert sorted(map(tuple, top.collect())) == want
+
+
 def test_top_k_sql(spark):
     con = duckdb.connect()
     con.execute(f"create view embeddings as select * from '{SF}/embeddings.parquet'")
