@@ -1,21 +1,29 @@
 """Reading grid literals back: the text of a workbook as sheets and cells, whatever its layout.
 
 A literal is scanned by one regular expression without nested repeats, so long texts need no deep stack. Where a token stands
-follows from sums along the tokens: sheets and rows opened so far, and commas since the row was opened.
+follows from sums along the tokens: sheets and rows opened so far, and commas since the row was opened. Tokens are gathered once, in
+blocks; sums are taken in each block, a row per block carries them on, and a block's cells stay one row until they are compared.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from doctables.operators.cells import same_grid
-from doctables.operators.running import BLOCK_ROWS, Scan, block_of, running, spread_lookup
+from doctables.operators.running import block_of
 from doctables.sources.staging import staged
 
-#: Parts a sheet may have, and blocks of tokens a part may have, in the numbers that order them.
+#: Parts a sheet may have, in the numbers that order them.
 SHEET_PARTS = 1 << 40
-PART_BLOCKS = 1 << 20
+#: Tokens of a part that are placed at a time.
+TOKEN_BLOCK = 4096
+BLOCK = ["path", "part", "__b"]
 
 _NUMBERS = r",\s*'Left':\s*(\d+),\s*'Top':\s*(\d+),\s*'Right':\s*(\d+),\s*'Bottom':\s*(\d+),\s*'Data':\s*(null|\[)"
 SHEET_TOKEN = r"(?s)'.*?':\s*\{\s*'Name':\s*'(.*?)'" + _NUMBERS
@@ -59,35 +67,102 @@ def literal_tokens(part: DataFrame) -> DataFrame:
     return part.select("path", F.col("part").cast("long").alias("part"), F.posexplode(tokens).alias("i", "token"))
 
 
-def _is_sheet() -> Column:
-    """Other tokens begin with no single quote."""
-    return F.startswith("token", F.lit("'"))
+_HEAD = "struct<sheet_name: string, left: int, top: int, right: int, bottom: int, has_data: boolean>"
+_CELL = "struct<sheet: int, below: bigint, at: bigint, here: boolean, token: string>"
 
 
-def _placed(token: DataFrame) -> DataFrame:
-    """Tokens with the number of sheets and rows opened and of commas passed, up to and with the token.
+def _head(token: Column) -> Column:
+    """Name and bounds of the sheet that a token opens."""
+    def group(i: int) -> Column:
+        return F.regexp_extract(token, SHEET_TOKEN, i)
 
-    They are written out once: cells and sheets both read them.
+    bounds = [group(i).cast("int").alias(name) for i, name in enumerate(["left", "top", "right", "bottom"], 2)]
+    return F.struct(_plain(group(1)).alias("sheet_name"), *bounds, (group(6) == "[").alias("has_data"))
+
+
+def _place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The cells of each block: sheets opened in the block, rows since the last of them and commas since the last row, else since
+    the block begins; ``here`` says whether that row was opened in the block. And what goes on to the next block."""
+    kinds = [("sheet", pa.int32()), ("below", pa.int64()), ("at", pa.int64()), ("here", pa.bool_()), ("token", pa.string())]
+    for batch in batches:
+        lists = batch.column("tokens")
+        n = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        token, ends = lists.flatten(), np.cumsum(n)
+        first = np.repeat(ends - n, n)
+
+        def test(found: pa.Array) -> np.ndarray:
+            return pc.fill_null(found, False).to_numpy(zero_copy_only=False)
+
+        def sums(x: np.ndarray) -> np.ndarray:
+            return np.concatenate([[0], np.cumsum(x, dtype=np.int64)])
+
+        def after(mark: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Where what follows the last marked token of the block begins, and whether there is one."""
+            last = np.maximum.accumulate(np.where(mark, np.arange(len(mark)), -1)) if len(mark) else first
+            return np.where(last >= first, last + 1, first), last >= first
+
+        sheet, opened, comma = test(pc.starts_with(token, "'")), test(pc.equal(token, "[")), test(pc.starts_with(token, ","))
+        sheets, rows = sums(sheet), sums(opened)
+        commas = sums(np.where(comma, pc.fill_null(pc.utf8_length(token), 0).to_numpy(zero_copy_only=False), 0))
+        (row_at, in_row), (sheet_at, in_sheet) = after(opened), after(sheet)
+        value = np.flatnonzero(test(pc.is_valid(token)) & ~(sheet | opened | comma))
+        columns = [
+            sheets[value] - sheets[first[value]], rows[value] - rows[sheet_at[value]], commas[value] - commas[row_at[value]], in_row[value], token.take(pa.array(value)),
+        ]
+        cells = pa.StructArray.from_arrays([pa.array(x, kind) for x, (_, kind) in zip(columns, kinds)], [name for name, _ in kinds])
+        end = ends - 1
+        yield pa.RecordBatch.from_arrays(
+            [
+                *(batch.column(c) for c in (*BLOCK, "heads")), pa.array(rows[ends] - rows[ends - n]), pa.array(commas[ends] - commas[ends - n]),
+                pa.array(rows[ends] - rows[sheet_at[end]], mask=~in_sheet[end]), pa.array(commas[ends] - commas[row_at[end]], mask=~in_row[end]),
+                pa.ListArray.from_arrays(pa.array(np.searchsorted(value, np.concatenate([[0], ends])), pa.int32()), cells),
+            ],
+            [*BLOCK, "heads", "rows", "commas", "below", "since", "cells"],
+        )
+
+
+def _placed(token: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Blocks of tokens with their sheets and cells, and a row per block with the sums up to its end.
+
+    Both are written out: cells and sheets read them, and what came before a block is known when all blocks are.
     """
-    block = F.col("part") * PART_BLOCKS + block_of("i", BLOCK_ROWS)
-    commas = F.when(F.startswith("token", F.lit(",")), F.length("token")).otherwise(0)
-    sums = {"__sheets": _is_sheet().cast("int"), "__rows": (F.col("token") == "[").cast("int"), "__commas": commas}
-    return staged(running(token, ["path"], ["part", "i"], block, {name: Scan("sum", value.cast("long")) for name, value in sums.items()}), "placed")
+    one = F.struct("i", "token")
+    lists = token.groupBy("path", "part", block_of("i", TOKEN_BLOCK).alias("__b")).agg(F.sort_array(F.collect_list(one)).alias("e"))
+    lists = lists.select(*BLOCK, F.transform("e", lambda x: x["token"]).alias("tokens"))
+    heads = F.transform(F.filter("tokens", lambda x: F.startswith(x, F.lit("'"))), _head)
+    schema = f"path string, part bigint, __b bigint, heads array<{_HEAD}>, rows bigint, commas bigint, below bigint, since bigint, cells array<{_CELL}>"
+    block = staged(lists.withColumn("heads", heads).mapInArrow(_place, schema), "placed")
+    so_far = Window.partitionBy("path").orderBy("part", "__b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = {"sheets": F.size("heads"), "rows": F.col("rows"), "commas": F.col("commas")}
+    ends = block.select(*BLOCK, "below", "since", F.get("heads", F.size("heads") - 1).alias("head"), *[F.sum(x).over(so_far).alias(c) for c, x in sums.items()])
+    begun, opened = (F.col("rows") - F.col("below")).alias("begun"), (F.col("commas") - F.col("since")).alias("opened")
+    return block, staged(ends.select(*BLOCK, "head", *sums, begun, opened), "ends")
+
+
+def _carried(ends: DataFrame) -> DataFrame:
+    """What each block finds: sheets opened before it, the last of them, rows since then and commas since the last row."""
+    before = Window.partitionBy("path").orderBy("part", "__b").rowsBetween(Window.unboundedPreceding, -1)
+
+    def most(c: str) -> Column:
+        return F.max(c).over(before)
+
+    return ends.select(
+        *BLOCK, most("sheets").alias("__sheets"), F.last("head", True).over(before).alias("__head"),
+        (most("rows") - most("begun")).alias("__below"), (most("commas") - most("opened")).alias("__since"),
+    )
 
 
 def literal_sheets(token: DataFrame) -> DataFrame:
     """Sheets of literals as sheet_summary gives them: (path, sheet_no, sheet_name, left, top, right, bottom, has_data)."""
-    return _sheets(_placed(token)).drop("__rows")
+    return _sheets(*_placed(token))
 
 
-def _sheets(placed: DataFrame) -> DataFrame:
-    def group(i: int) -> Column:
-        return F.regexp_extract("token", SHEET_TOKEN, i)
-
-    bounds = [group(i).cast("int").alias(name) for i, name in enumerate(["left", "top", "right", "bottom"], 2)]
-    return placed.where(_is_sheet()).select(
-        "path", (F.col("__sheets") - 1).cast("int").alias("sheet_no"), _plain(group(1)).alias("sheet_name"), *bounds,
-        (group(6) == "[").alias("has_data"), "__rows",
+def _sheets(block: DataFrame, ends: DataFrame) -> DataFrame:
+    """A block's sheets count on from those up to its end."""
+    opening = block.where(F.size("heads") > 0).select(*BLOCK, "heads").join(ends.select(*BLOCK, "sheets"), BLOCK)
+    first = F.col("sheets") - F.size("heads")
+    return opening.select("path", first.alias("__first"), F.posexplode("heads").alias("i", "h")).select(
+        "path", (F.col("__first") + F.col("i")).cast("int").alias("sheet_no"), "h.*"
     )
 
 
@@ -98,24 +173,30 @@ def read_literal(token: DataFrame) -> DataFrame:
     date. Blanks give no cell. Layout between values does not matter. Values before the first sheet or row belong to none and
     are left out. Dates that no calendar has keep their text.
     """
-    return _cells(_placed(token))
+    return _cells(*_placed(token))
+
+
+def _cells(block: DataFrame, ends: DataFrame) -> DataFrame:
+    found = block.where(F.size("cells") > 0).select(*BLOCK, "heads", "cells").join(_carried(ends), BLOCK, "left")
 
+    def at_place(x: Column) -> Column:
+        own = x["sheet"] > 0
+        head = F.when(own, F.get("heads", x["sheet"] - 1)).otherwise(F.col("__head"))
+        below = x["below"] + F.when(own, 0).otherwise(F.coalesce("__below", F.lit(0)))
+        at = x["at"] + F.when(x["here"], 0).otherwise(F.coalesce("__since", F.lit(0)))
+        return F.struct(
+            (F.coalesce("__sheets", F.lit(0)) + x["sheet"] - 1).cast("int").alias("sheet_no"), (head["top"] + below - 1).cast("int").alias("row"),
+            (head["left"] + at).cast("int").alias("col"), x["token"].alias("token"), (head["has_data"] & (below > 0)).alias("inside"),
+        )
 
-def _cells(placed: DataFrame) -> DataFrame:
-    row = Window.partitionBy("path", "__rows")  # one sheet row, which is one value when written
-    opened = placed.where(~_is_sheet() & (F.col("__sheets") > 0) & (F.col("__rows") > 0)).withColumn("__open", F.min("__commas").over(row))
-    values = opened.where(~F.startswith("token", F.lit(",")) & (F.col("token") != "["))
-    begun = _sheets(placed).where("has_data").select("path", "sheet_no", "left", "top", F.col("__rows").alias("__before"))
-    found = values.select("path", (F.col("__sheets") - 1).cast("int").alias("sheet_no"), "part", "i", "token", "__rows", "__commas", "__open")
-    found = spread_lookup(found, begun, ["path", "sheet_no"], ["part", "i"], "inner").where(F.col("__rows") > F.col("__before"))
+    cells = found.where(F.col("path").isNotNull()).select("path", F.explode(F.transform("cells", at_place)).alias("x")).select("path", "x.*")
     token_ = F.col("token")
     kind = (
         F.when(F.startswith(token_, F.lit('"')), "text").when(F.startswith(token_, F.lit("DateTime(")), "date")
         .when(token_.isin("true", "false"), "boolean").otherwise("number")
     )
-    return found.select(
-        "path", "sheet_no", (F.col("top") + F.col("__rows") - F.col("__before") - 1).cast("int").alias("row"),
-        (F.col("left") + F.col("__commas") - F.col("__open")).cast("int").alias("col"), kind.alias("kind"),
+    return cells.where("inside").select(
+        "path", "sheet_no", "row", "col", kind.alias("kind"),
         F.when(kind == "text", _plain(F.substr(token_, F.lit(2), F.length(token_) - 2)))
         .when(kind == "date", F.coalesce(_date(token_), token_)).otherwise(token_).alias("raw"),
         _show(token_).alias("literal"),
@@ -139,9 +220,9 @@ def same_literal(a: DataFrame, b: DataFrame) -> DataFrame:
     Names and bounds of sheets count as row and column 0. Layout does not matter.
     """
     def content(token: DataFrame) -> DataFrame:
-        placed = _placed(token)
+        block, ends = _placed(token)
         facts = F.to_json(F.struct("sheet_name", "left", "top", "right", "bottom", "has_data"))
-        head = _sheets(placed).select("path", "sheet_no", F.lit(0).alias("row"), F.lit(0).alias("col"), facts.alias("literal"))
-        return head.unionByName(_cells(placed).select("path", "sheet_no", "row", "col", "literal"))
+        head = _sheets(block, ends).select("path", "sheet_no", F.lit(0).alias("row"), F.lit(0).alias("col"), facts.alias("literal"))
+        return head.unionByName(_cells(block, ends).select("path", "sheet_no", "row", "col", "literal"))
 
     return same_grid(content(a), content(b), "literal")

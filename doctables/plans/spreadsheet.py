@@ -13,7 +13,7 @@ from doctables.operators.running import block_of
 from doctables.plans import views as V
 from doctables.plans.oracle_views import views
 from doctables.plans.register import registry
-from doctables.sources.staging import staged
+from doctables.sources.staging import drop_staged, staged
 
 QUERIES, ORACLE, query = registry()
 
@@ -250,7 +250,13 @@ def same_literal(spark, sf):
         lines = E.grid_literal(E.grid_rows(cell, bounds.where("has_data"), "literal"))
         return staged(L.literal_tokens(L.in_order(E.workbook_literal(summary, lines, indent, rows_per_part))), "tokens")
 
-    return L.same_literal(tokens(cells, True, 64), tokens(changed, False, 1000))
+    a, b = tokens(cells, True, 64), tokens(changed, False, 1000)
+    for used in (cells, bounds, summary):
+        drop_staged(used)
+    found = L.same_literal(a, b)
+    for used in (a, b):  # it has written what it reads of them
+        drop_staged(used)
+    return found
 
 
 # --- tables to sheets -----------------------------------------------------------------

@@ -217,6 +217,62 @@ def test_places_of_tokens_are_summed_once(spark):
     assert "posexplode" not in plan
 
 
+def test_places_go_on_from_block_to_block(spark, monkeypatch):
+    """Ten sheets in parts cut anywhere; a block of tokens may hold a whole sheet or one value."""
+    from doctables.operators import literals as L
+
+    parts, want = ["{"], set()
+    for n in range(10):
+        parts.append(f"{',' if n else ''}'S{n}':{{'Name':'S{n}','Left':{n + 1},'Top':{n + 3},'Right':9,'Bottom':9,'Data':{'null' if n % 4 == 2 else '['}")
+        if n % 4 != 2:
+            for r in range(n % 3 + 1):
+                parts += [f"{',' if r else ''}[,{n}", f",,\"{r}", ",[\"]"] if n % 2 else [f"{',' if r else ''}[{r},,\"x\"", "]"]
+                if n % 2:
+                    parts[-2:] = [f",,\"{r},[\"]"]
+                want |= {(n, n + 3 + r, n + 2, str(n)), (n, n + 3 + r, n + 4, f'"{r},["')} if n % 2 else {(n, n + 3 + r, n + 1, str(r)), (n, n + 3 + r, n + 3, '"x"')}
+            parts.append("]")
+        parts.append("}")
+    token = _literal(spark, [*parts, "}"])
+    for size in (1, 2, 5, 4096):
+        monkeypatch.setattr(L, "TOKEN_BLOCK", size)
+        got = [(r["sheet_no"], r["row"], r["col"], r["literal"]) for r in L.read_literal(token).collect()]
+        assert sorted(got) == sorted(want)
+        assert [(r["sheet_no"], r["sheet_name"], r["top"], r["has_data"]) for r in L.literal_sheets(token).orderBy("sheet_no").collect()] == [
+            (n, f"S{n}", n + 3, n % 4 != 2) for n in range(10)
+        ]
+
+
+def test_workbook_of_many_sheets_is_read_back(spark):
+    """The number of a part grows with its sheet; from the ninth sheet on it was more than a number can hold once multiplied."""
+    from doctables.operators import literals as L
+
+    sheet = "'S':{'Name':'S','Left':1,'Top':1,'Right':1,'Bottom':1,'Data':[[7]]}"
+    rows = [("b", n, 0, ("," if n else "{") + sheet + ("}" if n == 11 else "")) for n in range(12)]
+    parts = L.in_order(spark.createDataFrame(rows, "path string, sheet_no int, part long, text string"))
+    assert sorted(r["sheet_no"] for r in L.read_literal(L.literal_tokens(parts)).collect()) == list(range(12))
+
+
+def test_staged_tables_leave_no_shuffled_files(spark):
+    import time
+
+    from doctables.sources.staging import staged
+
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles()
+        return {str(files.apply(i).getName()) for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    before, setting = shuffled(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    numbers = staged(spark.range(1000).repartition(5, "id"), "numbers")
+    until = time.time() + 3
+    while (left := shuffled() - before) and time.time() < until:  # they go in the background
+        time.sleep(0.5)
+    assert not left
+    assert numbers.count() == 1000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
+
+
 def test_odd_literals(spark):
     from doctables.operators import literals as L
 
