@@ -315,6 +315,26 @@ def test_convert_folder(spark, landing):
     assert [tuple(r) for r in none] == [(0, 0, "No files processed.")]
 
 
+def test_steps_of_a_conversion_leave_the_disk(spark, tmp_path):
+    """What the next step has taken up is removed, and packages are made once."""
+    import os
+
+    from doctables.plans import files
+    from doctables.sources.staging import shared_folder
+
+    rows = [(n, "first line\nsecond", "en", "web") for n in (2, 4, 5, 13, 20, 21)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    before = set(os.listdir(shared_folder(spark)))
+    texts = files.QUERIES["convert_folder"](spark, str(tmp_path))
+    left = sorted(x.rsplit("-", 5)[0] for x in set(os.listdir(shared_folder(spark))) - before)
+    assert not {"packages", "runs", "inline", "kept", "texts", "pictures", "lists"} & set(left)
+    assert left.count("parts") == left.count("elements") == left.count("paragraphs") == 1
+    plan = texts._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" not in plan
+    body = {r["path"]: r["text"] for r in texts.where("part > 0 and text like 'first%'").collect()}
+    assert body == {f"docs/web/{n}.docx": f"first line\n\nsecond\n\ndocs/web/{n}\\.docx[^fn2]\n\n" for n in (2, 4, 5)}
+
+
 def test_one_output_name_for_several_files(spark):
     from doctables.plans.folder import file_outcomes, folder_texts
 
