@@ -286,6 +286,29 @@ def test_odd_literals(spark):
     assert got == [(0, 0, '{"', '{"'), (5, 3, "2", "3")]
 
 
+def test_grid_runs_of_several_bounds(spark):
+    """Each bound of a sheet keeps its own cells; the same bound twice adds nothing to rows with cells."""
+    cells = spark.createDataFrame([("b", 0, r, c, f"{r}{c}") for r in (2, 4) for c in (1, 3, 9)] + [("b", 0, 9, 1, "x")], "path string, sheet_no int, row int, col int, raw string")
+    bounds = spark.createDataFrame([("b", 0, 1, 1, 3, 3), ("b", 0, 1, 1, 3, 3), ("b", 0, 2, 4, 4, 4)], "path string, sheet_no int, left int, top int, right int, bottom int")
+    got = sorted((r["row"], r["to_row"], [tuple(c) for c in r["cells"]], r["left"], r["right"]) for r in E.grid_runs(cells, bounds).collect() if r["cells"])
+    assert got == [(2, 2, [(1, "21"), (3, "23")], 1, 3), (4, 4, [(3, "43")], 2, 4)]
+
+
+def test_rows_of_grids_are_read_not_worked_again(spark):
+    """Single rows and long runs are two readings of the grid; both were worked from the cells, with eight copies of the bounds."""
+    cells = spark.createDataFrame([("b", 0, 2, 1, "a"), ("b", 0, 9000, 2, "b")], "path string, sheet_no int, row int, col int, raw string")
+    rows = E.literal_rows(E.run_literal(E.grid_runs(cells, E.used_range(cells).withColumn("top", F.lit(1)))))
+    assert "Join" not in rows._jdf.queryExecution().executedPlan().toString()
+    got = {r["row"]: r["text"] for r in rows.collect()}
+    assert len(got) == 9000 and (got[1], got[2], got[8999], got[9000]) == ("[,]", "[a,]", "[,]", "[,b]")
+
+
+@pytest.mark.parametrize("ref,want", [("B7", (2, 7)), ("1A", (1, 1)), ("FXSHRXW1", (2147483647, 1)), ("FXSHRXX1", None), ("A" * 30 + "1", None), ("A", None), ("7", None), ("", None), ("A-1", None), ("A99999999999", None), (None, None)])
+def test_reference_is_whole_or_null(spark, ref, want):
+    got = spark.createDataFrame([(ref,)], "ref string").select(C.parse_ref("ref").alias("r"), C.parse_range(F.concat("ref", F.lit(":"), "ref")).alias("x")).first()
+    assert (got["r"] and tuple(got["r"])) == want and (got["x"] and tuple(got["x"])) == (want and want * 2)
+
+
 def test_grid_runs_numbers_cells_once(spark, tmp_path):
     """The rows behind the result are written cells; the line items aren't numbered again for every reader."""
     day = datetime.datetime(2020, 1, 2)
